@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,20 +39,21 @@ def water_fill(totals: DataFrame, cap: float) -> DataFrame:
     return totals.withColumn("target", F.least(F.col("weight") * F.lit(float(level)), limit).cast("double"))
 
 
-def _sample(group: pd.DataFrame) -> pd.DataFrame:
+def _sample(group: pa.Table) -> pa.Table:
     """Whole repetitions of every document, and one more of some, so that the sum stays next to the target.
 
     Goes by size octave, largest first, in seeded order; a document is taken once more when what is still
     owed is at least half its size. At the end at most half of a smallest document is owed or over.
     """
-    size, factor = group["size"].to_numpy("float64"), group["factor"].to_numpy("float64")
+    size, factor, mark = (group[c].to_numpy() for c in ("size", "factor", "mark"))
     whole = np.floor(factor + 1e-9)
-    owed, extra = 0.0, np.zeros(len(group), "int64")
-    for i in np.lexsort((group["mark"].to_numpy(), -np.floor(np.log2(np.maximum(size, 1))))):
+    owed, extra = 0.0, np.zeros(len(size), "int64")
+    for i in np.lexsort((mark, -np.floor(np.log2(np.maximum(size, 1))))):
         owed += (factor[i] - whole[i]) * size[i]
         if factor[i] > whole[i] and size[i] and owed >= size[i] / 2:
             extra[i], owed = 1, owed - size[i]
-    return group.assign(copies=(whole.astype("int64") + extra).astype("int32"))[["doc_id", "source", "size", "source_size", "target", "copies"]]
+    copies = pa.array((whole.astype("int64") + extra).astype("int32"))
+    return group.select(["doc_id", "source", "size", "source_size", "target"]).append_column("copies", copies)
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.0, seed: int = 42) -> DataFrame:
@@ -78,7 +79,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.
         .drop("n", "__source")
     )
     schema = "doc_id long, source string, size long, source_size long, target double, copies int"
-    return rows.groupBy("source", "bucket").applyInPandas(_sample, schema)
+    return rows.groupBy("source", "bucket").applyInArrow(_sample, schema)
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
