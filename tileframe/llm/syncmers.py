@@ -70,18 +70,18 @@ def distinct_marks(text: Column) -> Column:
     return F.array_distinct(F.transform(anchors(text), lambda x: x.mark))
 
 
-def neighbours(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
+def neighbours(rows: DataFrame, key: str, fields: list[str], tie: str) -> DataFrame:
     """rows with next: a struct of the fields of the next row by descending key; the first row follows the last.
 
     Rows are dealt into ranges of key. Each range also gets, as a guest, the first row of the range that
-    follows it, so one shuffle finds every neighbour. Ties go by a hash of fields; null keys come last.
+    follows it, so one shuffle finds every neighbour. Ties go by a hash of the column tie; null keys come last.
     """
     n = rows.count()
     parts = max(1, min(MOST_BUCKETS, n // BUCKET_ROWS))
     steps = ", ".join(str(i / parts) for i in range(1, parts))
     cuts = sorted(set(rows.select(F.expr(f"percentile_approx({key}, array({steps}), 10000)")).first()[0] or [])) if parts > 1 else []
     bucket = F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(key))), F.lit(0)) if cuts else F.lit(0)
-    ranked = rows.withColumn("__bucket", F.when(F.col(key).isNull(), F.lit(-1)).otherwise(bucket)).withColumn("__tie", F.xxhash64(*fields))
+    ranked = rows.withColumn("__bucket", F.when(F.col(key).isNull(), F.lit(-1)).otherwise(bucket)).withColumn("__tie", F.xxhash64(tie))
     order = F.struct(F.col(key).alias("k"), F.col("__tie").alias("t"))
     # the first row of each bucket in descending order, and the bucket before it: the next higher that has rows
     firsts = sorted(ranked.groupBy("__bucket").agg(F.max(order).alias("top")).collect(), key=lambda r: r["__bucket"])
@@ -105,7 +105,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     Takes doc_id and text of docs (null: empty); no other column is carried. Repeated rows follow each other.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = neighbours(rows.withColumn("marks", distinct_marks(F.col("text"))), "doc_id", ["text", "marks"])
+    rows = neighbours(rows.withColumn("marks", distinct_marks(F.col("text"))), "doc_id", ["text", "marks"], "text")
     n = F.char_length("text").cast("long")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n.cast("int") - half), F.substring(F.col("next.text"), F.lit(1), half))
