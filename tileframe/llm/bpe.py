@@ -22,7 +22,7 @@ from .common import documents
 
 #: Texts of about this many code points are encoded together; each cache generation holds so many chunks.
 TEXT_CHARS = 1 << 20
-CACHE = 150_000
+CACHE = 80_000
 NEVER = np.int64(2**62)
 
 # Unicode white space, and the file format's word pieces.
@@ -41,6 +41,32 @@ def byte_letters() -> list[str]:
     return [moved.get(b) or chr(b) for b in range(256)]
 
 
+class _Cache:
+    """Entries of two generations: when the young one is full, it becomes the old one, and the old one goes."""
+
+    def __init__(self):
+        self.young: dict[str, tuple[bytes, str]] = {}
+        self.old: dict[str, tuple[bytes, str]] = {}
+
+    def known(self, keys: Iterable[str]) -> tuple[dict[str, tuple[bytes, str]], list[str]]:
+        """What is held of keys, and those that are not."""
+        found, missing = {}, []
+        young, old = self.young.get, self.old.get
+        for key in keys:
+            entry = young(key) or old(key)
+            if entry is None:
+                missing.append(key)
+            else:
+                found[key] = entry
+        return found, missing
+
+    def hold(self, entries: dict[str, tuple[bytes, str]]) -> None:
+        if len(self.young) + len(entries) > CACHE:
+            self.old, self.young = self.young, {}
+        if len(entries) <= CACHE:
+            self.young.update(entries)
+
+
 class Bpe:
     """A tokenizer from its file's vocabulary, merges and special tokens."""
 
@@ -61,16 +87,15 @@ class Bpe:
         self.keys, self.ranks = keys[order], order
         self.merged = np.array([vocab[a + b] for a, b in pairs], "i8")
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.young: dict[str, tuple] = {}
-        self.old: dict[str, tuple] = {}
+        self.known_chunks, self.known_pieces = _Cache(), _Cache()
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * self.base + right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], NEVER)
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of words, each not empty. Every round merges, in each word, its pair of lowest rank wherever it stands."""
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, each not empty, one after another, and where each word ends. Every round merges, in each word, its pair of lowest rank wherever it stands."""
         lens = np.fromiter(map(len, words), "i8", len(words))
         flat = np.frombuffer(b"".join(words), "u1")
         symbol = self.inner[flat]
@@ -101,37 +126,45 @@ class Bpe:
             symbol, owner = symbol[keep], owner[keep]
         symbols, owners = np.concatenate(done_symbols), np.concatenate(done_owners)
         order = np.argsort(owners, kind="stable")
-        return np.split(symbols[order], np.searchsorted(owners[order], np.arange(1, len(words))))
+        return symbols[order], np.cumsum(np.bincount(owners, minlength=len(words)))
 
-    def _pieces(self, chunk: str) -> Iterator[bytes | int]:
+    def _pieces(self, chunk: str) -> list[str]:
+        if chunk.isascii() and chunk.isalpha():
+            return [chunk.lower()]
+        out = []
         for part in self.marks.split(chunk) if self.marks and "<" in chunk else (chunk,):
             if part in self.special:
-                yield self.special[part]
+                out.append(part)
             elif part:
-                plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                for piece in PIECES.findall(plain):
-                    yield piece.encode("utf-8", "replace")
+                out += PIECES.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
+        return out
+
+    def pieces(self, distinct: Iterable[str]) -> dict[str, tuple[bytes, str]]:
+        """For each piece, which may be a special token: its ids as int32 bytes, and its tokens joined by spaces."""
+        found, missing = self.known_pieces.known(distinct)
+        special = [p for p in missing if p in self.special]
+        plain = [p for p in missing if p not in self.special]
+        new = {p: (np.array([self.special[p]], "<i4").tobytes(), p) for p in special}
+        if plain:
+            flat, ends = self.merge([p.encode("utf-8", "replace") for p in plain])
+            ids, tokens, ends = flat.astype("<i4").tobytes(), self.tokens[flat].tolist(), ends.tolist()
+            new |= {p: (ids[4 * a : 4 * b], " ".join(tokens[a:b])) for p, a, b in zip(plain, [0, *ends], ends, strict=False)}
+        found |= new
+        self.known_pieces.hold(found)
+        return found
 
     def chunks(self, distinct: Iterable[str]) -> dict[str, tuple[bytes, str]]:
-        """For each chunk without white space: its ids as int32 bytes, and its tokens joined by spaces."""
-        found, missing = {}, []
-        for chunk in distinct:
-            entry = self.young.get(chunk) or self.old.get(chunk)
-            if entry is None:
-                missing.append(chunk)
+        """The same for each chunk without white space, which consists of pieces."""
+        found, missing = self.known_chunks.known(distinct)
+        parts = list(map(self._pieces, missing))
+        table = self.pieces({p for own in parts for p in own})
+        for chunk, own in zip(missing, parts, strict=True):
+            if len(own) == 1:
+                found[chunk] = table[own[0]]
             else:
-                found[chunk] = entry
-        pieces = [list(self._pieces(chunk)) for chunk in missing]
-        words = list({p for own in pieces for p in own if isinstance(p, bytes)})
-        ids = dict(zip(words, self.merge(words), strict=True)) if words else {}
-        none = np.zeros(0, "i8")
-        for chunk, own in zip(missing, pieces, strict=True):
-            whole = np.concatenate([none, *[ids[p] if isinstance(p, bytes) else [p] for p in own]]).astype("<i4")
-            found[chunk] = whole.tobytes(), " ".join(self.tokens[whole])
-        if len(self.young) + len(missing) > CACHE:
-            self.old, self.young = self.young, {}
-        if len(found) <= CACHE:
-            self.young.update(found)
+                entries = [table[p] for p in own]
+                found[chunk] = b"".join([x[0] for x in entries]), " ".join([x[1] for x in entries])
+        self.known_chunks.hold(found)
         return found
 
     def split(self, text: str) -> list[str]:
