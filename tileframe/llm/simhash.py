@@ -59,7 +59,8 @@ def links(marks: DataFrame) -> DataFrame:
 
     sides = [F.struct(F.lit(s).alias("s"), segment(s).alias("key")) for s in (0, 1)]
     table = marks.select("mark", "rep", F.explode(F.array(*sides)).alias("at")).select("at.s", "at.key", "mark", "rep")
-    looks = [F.transform(ball(segment(s)), lambda v, s=s: F.struct(F.lit(s).alias("s"), v.alias("key"))) for s in (0, 1)]
+    at = lambda s: lambda key: F.struct(F.lit(s).alias("s"), key.alias("key"))
+    looks = [F.transform(ball(segment(s)), at(s)) for s in (0, 1)]
     probes = marks.select("mark", "rep", F.explode(F.concat(*looks)).alias("at")).select("at.s", "at.key", F.col("mark").alias("mark2"), F.col("rep").alias("rep2"))
     near = F.bit_count(F.col("mark").bitwiseXOR(F.col("mark2"))) <= DISTANCE
     met = probes.join(table, (probes["s"] == table["s"]) & (probes["key"] == table["key"]) & (F.col("mark") != F.col("mark2")) & near)
