@@ -95,15 +95,24 @@ def region_properties(labels: DataFrame, *keys: str, intensity: str | None = Non
     return out.withColumns(derived).drop("xx", "yy", "xy").withColumnsRenamed({"mx": "centroid_c", "my": "centroid_r"})
 
 
-def shape_features(labels: DataFrame, *keys: str) -> DataFrame:
-    """(keys, rect, frct_dim) of each segment's mask."""
+def shape_features(labels: DataFrame, image: str, label: str) -> DataFrame:
+    """(image, label, rect, frct_dim) of each segment's mask, image by image."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        mask, _, _ = _dense(pdf.assign(__m=1), "__m")
-        return pd.DataFrame([(*pdf.iloc[0][list(keys)], kernels.rectangularity(mask), kernels.fractal_dimension(mask))], columns=[*keys, "rect", "frct_dim"])
-
-    fields = [labels.schema[k] for k in keys]
-    return labels.select(*keys, "r", "c").groupBy(*keys).applyInPandas(run, T.StructType([*fields, T.StructField("rect", T.DoubleType()), T.StructField("frct_dim", T.DoubleType())]))
+        rows, names = [], pdf[label].to_numpy()
+        r, c = pdf["r"].to_numpy(), pdf["c"].to_numpy()
+        order = np.argsort(names, kind="stable")
+        for at in np.split(order, np.flatnonzero(np.diff(names[order])) + 1):
+            y, x = r[at] - r[at].min(), c[at] - c[at].min()
+            mask = np.zeros((y.max() + 1, x.max() + 1), bool)
+            mask[y, x] = True
+            ring = kernels.outline(mask)
+            rows.append((pdf[image].iloc[0], names[at[0]], kernels.rectangularity(ring), kernels.fractal_dimension(ring)))
+        return pd.DataFrame(rows, columns=[image, label, "rect", "frct_dim"])
+
+    kind = labels.select(image, label, "r", "c")
+    shape = [T.StructField("rect", T.DoubleType()), T.StructField("frct_dim", T.DoubleType())]
+    return kind.groupBy(image).applyInPandas(run, T.StructType([kind.schema[image], kind.schema[label], *shape]))
 
 
 def map_rings(kernel: Callable[[np.ndarray], np.ndarray]) -> Callable[[Column], Column]:
@@ -195,11 +204,13 @@ def dissolve(polygons: DataFrame, distance: float, cell: float) -> DataFrame:
     """
     joined = polygons.join(clusters(polygons, 2 * distance, cell), "id")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rings = [[np.array([(p["x"], p["y"]) for p in ring], "f8")] for ring in pdf["ring"]]
-        merged = kernels.closing(rings, distance)
-        rows = [(pdf["cluster"].iloc[0], [[{"x": float(x), "y": float(y)} for x, y in r] for r in own]) for own in merged]
-        return pd.DataFrame(rows, columns=["cluster", "geom"])
+    @F.pandas_udf(T.ArrayType(T.ArrayType(RING)))
+    def merge(groups: pd.Series) -> pd.Series:
+        out = []
+        for rings in groups:
+            merged = kernels.closing([[np.array([(p["x"], p["y"]) for p in ring], "f8")] for ring in rings], distance)
+            out.append([[[{"x": float(x), "y": float(y)} for x, y in r] for r in own] for own in merged])
+        return pd.Series(out)
 
-    schema = T.StructType([T.StructField("cluster", joined.schema["cluster"].dataType), T.StructField("geom", T.ArrayType(RING))])
-    return joined.select("cluster", "ring").groupBy("cluster").applyInPandas(run, schema)
+    groups = joined.groupBy("cluster").agg(F.collect_list("ring").alias("rings"))
+    return groups.select("cluster", F.explode(merge("rings")).alias("geom"))
