@@ -228,15 +228,16 @@ def test_quality_model_is_kneser_ney(spark):
         counts.update(zip(padded, padded[1:], padded[2:], strict=False))
     key = lambda g: (g[0] << 36) | (g[1] << 18) | g[2]
     three = common.written(spark.createDataFrame([(key(g), c) for g, c in counts.items()], "gram long, c long"), "t")
-    two = common.written(quality._preceded(three, 3), "t")
-    one = common.written(quality._preceded(two, 2), "t")
-    model = quality.Model([quality._smoothed(x, 18 * n) for n, x in ((1, one), (2, two), (3, three))], 1000)
+    asked = [*ids[:3], np.array([500, 999, 500, 511, 3], "u2"), np.zeros(0, "u2")]
+    tokens = common.written(spark.createDataFrame([(i, 0, bytearray(x.tobytes())) for i, x in enumerate(asked)] + [(None, -1, bytearray())], "doc_id long, lang int, ids binary").repartition(3), "t")
     p = brute_model(counts, 1000)
-    asked = [*ids[:3], np.array([500, 999, 500, 511, 3], "u2")]
-    loss, n = model.losses(np.zeros(len(asked), "i4"), [x.tobytes() for x in asked])
-    for x, got in zip(asked, loss, strict=True):
-        padded = [0, 0, *map(int, x)]
-        assert math.isclose(got, -sum(math.log(p(g)) for g in zip(padded, padded[1:], padded[2:], strict=False)), rel_tol=1e-4)
+    for shards in (1, 7):
+        out = {r["doc_id"]: r for r in quality.score(tokens, three, shards, 1000).collect()}
+        assert len(out) == len(asked) + 1 and out[None]["lang"] == -1 and out[None]["n"] == 0
+        for i, x in enumerate(asked):
+            padded = [0, 0, *map(int, x)]
+            assert out[i]["n"] == len(x)
+            assert math.isclose(out[i]["loss"], -sum(math.log(p(g)) for g in zip(padded, padded[1:], padded[2:], strict=False)), rel_tol=1e-4, abs_tol=1e-9)
 
 
 def test_syncmers(docs, texts, none, odd):
