@@ -1,11 +1,13 @@
 """Cases in which an operator once did less than the whole job."""
 
 import random
+from collections import defaultdict
 
 import corpus_pipeline
+import numpy as np
 from test_operators import lower
 
-from tileframe.llm import simhash
+from tileframe.llm import simhash, topk
 
 
 def shingle_set(text):
@@ -55,3 +57,18 @@ def test_pipeline_dedups_at_jaccard_08(spark, monkeypatch):
     monkeypatch.setattr(simhash, "PART_SETS", 2)
     got = {r["doc_id"]: r["component_id"] for r in simhash.similar(docs).collect()}
     assert got.pop(None) is None and got == groups
+
+
+def test_topk_of_a_large_length_beside_many(spark, monkeypatch):
+    monkeypatch.setattr(topk, "PIVOT_ROWS", 40)
+    monkeypatch.setattr(topk, "MOST_PIVOTS", 4)
+    base = np.random.default_rng(6).normal(0, 1, (300, 6)).round(2)
+    table = [(i, [float(x) for x in v]) for i, v in enumerate(base)] + [(1001 + i, [1.0] * (7 + i)) for i in range(6)]
+    got = defaultdict(list)
+    for r in topk.top_k(topk.quantised(spark.createDataFrame(table, "vec_id long, embedding array<double>"))).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    q = np.floor(64 * base).astype("i8")
+    for i in range(0, 300, 20):
+        scores = sorted((-int(q[i] @ q[j]), j) for j in range(300) if j != i)[:20]
+        assert got.pop(i) == [(j, -s) for s, j in scores]
+    assert not got

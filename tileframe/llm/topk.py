@@ -221,10 +221,11 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = QUERY_EVERY) -> DataFram
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks).cast("int")).select("pivot", "block", "kind", "dim", "vec_id", "v")
     packed = written(dealt.groupBy("dim", "pivot", "kind", "block").applyInArrow(_pack, PACKED), "packed")
 
-    nodes = stats.collect() if len(counts) < MOST_PIVOTS else []
+    several = [dim for dim, p in pivots.items() if len(p) > 1]
+    nodes = stats.filter(F.col("dim").isin(several)).collect() if several else []
     own = stats.select("dim", F.col("pivot").alias("to"), "pivot")
     first = _pairs(packed, own, k)
-    if all(len(p) <= 1 for p in pivots.values()) and nodes:
+    if not nodes:
         return _ranked(first, k).select("query_id", "rank", "vec_id", "score")
     first = written(_ranked(first, k).drop("rank"), "first")
     kth = first.groupBy("dim", "pivot", "query_id").agg(F.min("score").alias("kth"), F.count("*").alias("n"))
