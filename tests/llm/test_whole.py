@@ -5,9 +5,10 @@ from collections import defaultdict
 
 import corpus_pipeline
 import numpy as np
+import pytest
 from test_operators import lower
 
-from tileframe.llm import simhash, topk
+from tileframe.llm import quality, simhash, topk
 
 
 def shingle_set(text):
@@ -72,3 +73,29 @@ def test_topk_of_a_large_length_beside_many(spark, monkeypatch):
         scores = sorted((-int(q[i] @ q[j]), j) for j in range(300) if j != i)[:20]
         assert got.pop(i) == [(j, -s) for s, j in scores]
     assert not got
+
+
+@pytest.mark.parametrize("bound", [{"MOST_LANGUAGES": 2}, {"VOCABULARY_DOCS": 20}, {}])
+def test_quality_judges_every_trusted_language(spark, monkeypatch, bound):
+    for k, v in bound.items():
+        monkeypatch.setattr(quality, k, v)
+    rng, rows, labels = random.Random(8), [], []
+    for lang, n in (("en", 300), ("fr", 100), ("de", 60), ("nl", 40), ("rare", 1)):
+        words = [f"{lang}{chr(97 + i)}" for i in range(20)]
+        for i in range(n + 1):
+            text = rng.choices(words, k=80) if i < n else [f"{rng.random()}@#{j}" for j in range(80)]
+            rows.append((len(rows), " ".join(text), lang))
+            labels.append((len(labels), int(i < n), 0))
+    rows.append((len(rows), "a text of a language without trusted text", "none"))
+    out = {r["doc_id"]: r for r in quality.classify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert all(out[d]["perplexity"] is not None and out[d]["threshold"] is not None for d, _, _ in labels)
+    assert not any(out[d]["keep"] for d, good, _ in labels if not good)
+    assert out[len(labels)]["keep"] and out[len(labels)]["threshold"] is None
+
+
+def test_models_pool_what_cannot_stand_alone(monkeypatch):
+    monkeypatch.setattr(quality, "MOST_LANGUAGES", 3)
+    assert quality._models([("a", 9, 1), ("b", 8, 1), ("c", 7, 1)]) == (["a", "b", "c"], {"a": 0, "b": 1, "c": 2})
+    assert quality._models([("a", 9, 1), ("b", 8, 1), ("c", 7, 1), ("d", 2, 1)]) == (["a", "b", None], {"a": 0, "b": 1, "c": 2, "d": 2})
+    assert quality._models([("a", 9, 1), ("b", 8, 1), ("x", 1, 0)]) == (["a", None], {"a": 0, "b": 1, "x": 1})
+    assert quality._models([("x", 1, 0)]) == ([None], {"x": 0}) and quality._models([]) == ([], {})
