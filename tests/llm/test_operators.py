@@ -375,8 +375,8 @@ def test_language_model_sums_to_one():
 @pytest.mark.parametrize("small", [False, True])
 def test_topk(spark, monkeypatch, small):
     if small:
-        monkeypatch.setattr(topk, "PIVOT_ROWS", 40)
-        monkeypatch.setattr(topk, "BLOCK_ROWS", 16)
+        monkeypatch.setattr(topk, "BLOCK_ROWS", 40)
+        monkeypatch.setattr(topk, "LEAF_ROWS", 4)
         monkeypatch.setattr(topk, "CHUNK", 2)
     rng = np.random.default_rng(4)
     base = rng.normal(0, 1, (300, 6)).round(2)

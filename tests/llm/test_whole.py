@@ -61,8 +61,8 @@ def test_pipeline_dedups_at_jaccard_08(spark, monkeypatch):
 
 
 def test_topk_of_a_large_length_beside_many(spark, monkeypatch):
-    monkeypatch.setattr(topk, "PIVOT_ROWS", 40)
-    monkeypatch.setattr(topk, "MOST_PIVOTS", 4)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(topk, "FAN", 4)
     base = np.random.default_rng(6).normal(0, 1, (300, 6)).round(2)
     table = [(i, [float(x) for x in v]) for i, v in enumerate(base)] + [(1001 + i, [1.0] * (7 + i)) for i in range(6)]
     got = defaultdict(list)
