@@ -247,16 +247,25 @@ def test_syncmers(docs, texts, none, odd):
         text, nxt = texts[d] or "", texts[after] or ""
         half = len(text) // 2
         assert out[d]["edited"] == text[: len(text) - half] + nxt[:half] and out[d]["n_chars"] == len(text)
-        assert out[d]["next_marks"] == out[after]["marks"]
-    assert out[200]["marks"] == out[201]["marks"] == out[20]["marks"]
-    assert syncmers.fingerprints(none).count() == 0 and syncmers.fingerprints(odd).count() == 4
+        assert out[d]["next_found"] == out[after]["found"]
+    assert out[200]["found"] == out[201]["found"] == out[20]["found"]
+    assert syncmers.fingerprints(none).collect() == []
+    line, half = "some words that stand in a line of text", 19
+    edited = [(1, line[:20] + line[:half]), (1, line[:20] + line[:half]), (2, ""), (None, line[:20])]
+    assert sorted(((r["doc_id"], r["edited"]) for r in syncmers.fingerprints(odd).collect()), key=str) == sorted(edited, key=str)
 
 
 def test_neighbours_over_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(syncmers, "BUCKET_ROWS", 7)
     rows = spark.createDataFrame([(i * i, f"t{i}") for i in range(100)], "k long, t string").repartition(3)
-    got = {r["k"]: r["next"]["t"] for r in syncmers.neighbours(rows, "k", ["t"], "t").collect()}
-    assert got == {i * i: f"t{(i - 1) % 100}" for i in range(100)}
+    for steps in (256, 4):
+        monkeypatch.setattr(syncmers, "STEPS", steps)
+        got = {r["k"]: r["next"]["t"] for r in syncmers.neighbours(rows, "k", ["t"], "t").collect()}
+        assert got == {i * i: f"t{(i - 1) % 100}" for i in range(100)}
+    nulls = rows.union(spark.createDataFrame([(None, f"n{i}") for i in range(60)], "k long, t string")).withColumn("h", F.xxhash64("t"))
+    got = {r["t"]: r["next"]["t"] for r in syncmers.neighbours(nulls, "k", ["t"], "t").collect()}
+    order = [f"t{i}" for i in reversed(range(100))] + [r["t"] for r in nulls.filter("k is null").orderBy(F.desc("h")).collect()]
+    assert got == dict(zip(order, order[1:] + order[:1], strict=True))
 
 
 def test_syncmers_are_closed_and_context_free(spark):
@@ -267,7 +276,37 @@ def test_syncmers_are_closed_and_context_free(spark):
     closed = [i for i in range(len(words) - 4) if min(r["m"][i], r["m"][i + 3]) <= min(r["m"][i + 1 : i + 3])]
     assert [x["pos"] for x in r["own"]] == closed
     shared = [x["pos"] for x in r["own"] if x["pos"] + 5 <= 100]
-    assert {(p, p + 2) for p in shared} <= {(x["a"], x["b"]) for x in r["both"]} | {(p, p + 2) for p in shared if len([q for q in r["own"] if q["mark"] == r["own"][closed.index(p)]["mark"]]) > 1}
+    place = lambda found, m: next(x["pos"] for x in found if x["mark"] == m)
+    other = row.select(syncmers.anchors(F.col("b")).alias("x")).first()["x"]
+    both = {x["mark"] for x in r["own"]} & {x["mark"] for x in other}
+    assert [(x["a"], x["b"]) for x in r["both"]] == sorted((place(r["own"], m), place(other, m)) for m in both)
+    assert len(shared) > 20 and {x["mark"] for x in r["own"] if x["pos"] in shared} <= both
+    got = row.select(syncmers.in_step(syncmers.matches(syncmers.anchors(F.col("a")), syncmers.anchors(F.col("b")))).alias("x")).first()["x"]
+    assert got > 0.9
+
+
+def test_syncmers_of_text_without_spaces(spark):
+    rng = random.Random(9)
+    run = "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(6000))
+    cases = [run, "中" + run, run[:3000] + "文" + run[3000:], " ".join(["word"] * 30) + " " + run]
+    out = spark.createDataFrame([(run, x) for x in cases], "a string, b string").select(syncmers.likeness(*(syncmers.distinct_marks(syncmers.anchors(F.col(c))) for c in "ab")).alias("x"))
+    assert all(r["x"] > 0.95 for r in out.collect())
+
+
+def test_syncmer_query_is_what_the_marks_say(spark, docs, texts, tmp_path):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = by_id(syncmers.op4_syncmers(spark, str(tmp_path)))
+    own = {r["doc_id"]: [x["mark"] for x in r["x"]] for r in docs.select("doc_id", syncmers.anchors(F.coalesce("text", F.lit(""))).alias("x")).collect()}
+    dice = lambda a, b: 2 * len(set(a) & set(b)) / (len(set(a)) + len(set(b))) if a or b else 1.0
+    text = lambda marks: "".join(f"{m & 0xFFFFFFFF:08x}" for m in dict.fromkeys(marks))
+    order = sorted(texts, reverse=True)
+    for d, after in zip(order, order[1:] + order[:1], strict=True):
+        r, t, nxt = out[d], texts[d] or "", texts[after] or ""
+        edited = t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]
+        assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest() and r["n_chars"] == len(t)
+        assert r["fingerprint"] == text(own[d]) and r["near_next"] == pytest.approx(dice(own[d], own[after]))
+        marks = [int(r["edited_fingerprint"][i : i + 8], 16) for i in range(0, len(r["edited_fingerprint"]), 8)]
+        assert r["near_edited"] == pytest.approx(dice([m & 0xFFFFFFFF for m in own[d]], marks))
 
 
 @pytest.fixture(scope="module")
