@@ -2,7 +2,9 @@
 
 Base labels come from phrases whose words stand consecutively. The method adds labels of templates: a text is cut
 into overlapping blocks of words, and a block gets a template's label if it holds at least THRESHOLD of
-the template's distinct words. The join orders words by how many documents have them, rarest first:
+the template's distinct words. Templates of up to 16, 32, 64 ... words have blocks of twice as many, which start every 16, 32,
+64 ... words, so that any passage as long as the template is whole in one. The join orders words by how many documents have them,
+rarest first:
 
 * prefix filter: a block that holds enough of a template has one of its len - need + 1 rarest words;
 * length filter: it has at least need words of the templates at all;
@@ -19,10 +21,11 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, written
+from .license_texts import TEMPLATES
 
-#: Blocks of BLOCK words begin every STEP words: any run of up to BLOCK - STEP words is whole in one.
-BLOCK, STEP = 96, 48
+#: The smallest step of blocks; other steps are it doubled.
+LEAST_STEP = 16
 THRESHOLD = 0.8
 MOST_TEMPLATE_WORDS = 10_000
 
@@ -32,19 +35,6 @@ PHRASES = (
     ("apache license version 2", "apache-2"),
     ("cc by nc", "cc-by-nc"),
 )
-# Opening or notice passages of public licenses, in lower-case words.
-TEMPLATES = (
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"),
-    ("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
-    ("gpl-3", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license"),
-    ("gpl-3", "this work is licensed under the gnu general public license version 3"),
-    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("unlicense", "this is free and unencumbered software released into the public domain"),
-)
-
 #: All ASCII but letters and digits parts words.
 SEPARATORS = "".join(chr(i) for i in range(128) if not chr(i).isalnum())
 _FROM = string.ascii_uppercase + SEPARATORS
@@ -78,46 +68,60 @@ def places(norm: Column, phrase: str) -> Column:
 
 
 def template_table(templates) -> list[dict]:
-    table = [{"id": i, "label": label, "words": sorted(set(text.split()))} for i, (label, text) in enumerate(templates)]
-    for t in table:
-        t["need"] = math.ceil(THRESHOLD * len(t["words"]) - 1e-9)
-    if sum(len(t["words"]) for t in table) > MOST_TEMPLATE_WORDS:
-        raise ValueError(f"templates may have {MOST_TEMPLATE_WORDS} words in all")
+    """Templates as id, label, step of their blocks, distinct words, and how many of these a block needs."""
+    table = []
+    for i, (label, text) in enumerate(templates):
+        own = text.translate(str.maketrans(_FROM, _TO)).split()
+        words, step = sorted(set(own)), LEAST_STEP
+        while step < len(own):
+            step *= 2
+        table.append({"id": i, "label": label, "step": step, "words": words, "need": math.ceil(THRESHOLD * len(words) - 1e-9)})
+    if not all(t["words"] for t in table) or sum(len(t["words"]) for t in table) > MOST_TEMPLATE_WORDS:
+        raise ValueError(f"templates need words, and may have {MOST_TEMPLATE_WORDS} in all")
     return table
 
 
-def frequency(norms: DataFrame, vocabulary: list[str]) -> dict[str, int]:
-    """In how many of all documents each word of the templates stands; at most MOST_TEMPLATE_WORDS rows."""
-    held = F.array_intersect(F.split("norm", " "), F.array(*map(F.lit, vocabulary)))
-    return dict(norms.select(F.explode(held).alias("word")).groupBy("word").count().collect())
+def _words(own: list[str]) -> Column:
+    return F.array(*map(F.lit, own))
 
 
-def template_hits(norms: DataFrame, key: str, templates=TEMPLATES) -> DataFrame:
-    """(key, label, score) for each key and template label whose block meets THRESHOLD; score is its best containment."""
-    table = template_table(templates)
+def _held(rows: DataFrame, table: list[dict]) -> DataFrame:
+    """rows (norm) with held, the templates' words that a text has, and near, the templates of which it has enough as a whole."""
     vocabulary = sorted({w for t in table for w in t["words"]})
-    count = frequency(norms, vocabulary)
-    rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (count.get(w, 0), w)))}
-    order = sorted(vocabulary, key=rank.get)
+    rows = rows.withColumn("held", F.array_intersect(F.split(F.trim("norm"), " "), _words(vocabulary)))
+    enough = [F.when(F.size(F.array_intersect(_words(t["words"]), "held")) >= t["need"], F.lit(t["id"])) for t in table]
+    return rows.withColumn("near", F.when(F.size("held") >= min(t["need"] for t in table), F.array_compact(F.array(*enough))).otherwise(F.array().cast("array<int>")))
+
+
+def _hits(texts: DataFrame, key: str, table: list[dict]) -> DataFrame:
+    """(key, label, score) of each key and template label whose block meets THRESHOLD; score is its best containment.
+
+    texts are (key, norm, held, near) of all documents, norm being null where near is empty.
+    """
+    vocabulary = sorted({w for t in table for w in t["words"]})
+    # in how many of all documents each word stands, at most MOST_TEMPLATE_WORDS rows
+    count = dict(texts.select(F.explode("held").alias("word")).groupBy("word").count().collect())
+    order = sorted(vocabulary, key=lambda w: (count.get(w, 0), w))
+    rank = {w: i for i, w in enumerate(order)}
     prefixes = []
     for t in table:
-        t["words"].sort(key=rank.get)
-        prefixes += [(w, t["id"], t["label"], t["need"], i, t["words"]) for i, w in enumerate(t["words"][: len(t["words"]) - t["need"] + 1])]
-    spark = norms.sparkSession
-    prefix = spark.createDataFrame(prefixes, "word string, template int, label string, need int, i int, words array<string>")
-    rare = sorted({p[0] for p in prefixes}, key=rank.get)
-    least = min(t["need"] for t in table)
-
+        words = sorted(t["words"], key=rank.get)
+        prefixes += [(t["step"], w, t["id"], t["label"], t["need"], i, words) for i, w in enumerate(words[: len(words) - t["need"] + 1])]
+    prefix = texts.sparkSession.createDataFrame(prefixes, "step int, word string, template int, label string, need int, i int, words array<string>")
+    rare = sorted({p[1] for p in prefixes}, key=rank.get)
+
+    steps = sorted({t["step"] for t in table})
+    of = {n: [t for t in table if t["step"] == n] for n in steps}
+    wanted = F.array_compact(F.array(*[F.when(F.arrays_overlap("near", F.array(*[F.lit(t["id"]) for t in of[n]])), F.lit(n)) for n in steps]))
+    least = F.create_map(*[F.lit(x) for n in steps for x in (n, min(t["need"] for t in of[n]))])
     words = F.split(F.trim("norm"), " ")
-    starts = F.sequence(F.lit(0), F.greatest(F.col("n") - F.lit(1), F.lit(0)), F.lit(STEP))
-    held = F.array_intersect(words, F.array(*map(F.lit, order)))
-    # whole texts first: one that lacks enough template words, or every rare one, has no block that meets a threshold
-    texts = norms.withColumn("n", n_words(F.col("norm"))).filter((F.size(held) >= least) & F.arrays_overlap(held, F.array(*map(F.lit, rare))))
-    cut = texts.select(key, F.posexplode(F.transform(starts, lambda i: F.slice(words, i + 1, BLOCK))).alias("block", "part"))
+    some = texts.filter(F.size("near") > 0).select(key, words.alias("words"), F.explode(wanted).alias("step"))
+    starts = F.sequence(F.lit(0), F.size("words") - 1, F.col("step"))
+    cut = some.select(key, "step", F.explode(F.transform(starts, lambda i: F.slice("words", i + 1, 2 * F.col("step")))).alias("part"))
     # the block's template words, rarest first
-    blocks = cut.select(key, "block", F.array_intersect(F.array(*map(F.lit, order)), "part").alias("own")).filter(F.size("own") >= least)
-    tokens = blocks.select(key, "own", F.size("own").alias("len"), F.posexplode("own").alias("j", "word")).filter(F.col("word").isin(rare))
-    met = tokens.join(F.broadcast(prefix), "word")
+    blocks = cut.select(key, "step", F.array_intersect(_words(order), "part").alias("own")).filter(F.size("own") >= least[F.col("step")])
+    tokens = blocks.select(key, "step", "own", F.size("own").alias("len"), F.posexplode("own").alias("j", "word")).filter(F.col("word").isin(rare))
+    met = tokens.join(F.broadcast(prefix), ["step", "word"])
     remain = F.least(F.size("words") - F.col("i"), F.col("len") - F.col("j"))
     before = F.array_intersect(F.slice("words", 1, F.col("i")), "own")
     met = met.filter((F.col("len") >= F.col("need")) & (F.size(before) == 0) & (remain >= F.col("need")))
@@ -128,17 +132,21 @@ def template_hits(norms: DataFrame, key: str, templates=TEMPLATES) -> DataFrame:
 def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) for every row of docs (doc_id, text).
 
-    Null text counts as empty. Rows that repeat have the same result each. score is 1 with a base label,
-    else the best containment of a template that met the threshold, else 0.
+    Null text counts as empty. Rows that repeat have the same result each, other columns are ignored, an empty table gives no rows.
+    A text of any length is scanned whole. score is 1 with a base label, else the best containment of a template that met the
+    threshold, else 0. Texts are normalised once; what is written holds words only of texts that have enough of some template's.
     """
-    norms = docs.select("doc_id", normal(F.col("text")).alias("norm"))
-    keyed = norms.withColumn("key", F.struct("doc_id", F.xxhash64("norm").alias("hash")))
-    hits = template_hits(keyed, "key", templates).groupBy("key").agg(F.sort_array(F.collect_set("label")).alias("more"), F.max("score").alias("best"))
+    table = template_table(templates)
+    norms = _held(docs.select("doc_id", normal(F.col("text")).alias("norm")), table)
     found = [places(F.col("norm"), phrase) for phrase, _ in phrases]
-    named = [F.when(F.size(at) > 0, F.lit(label)) for at, (_, label) in zip(found, phrases, strict=True)]
-    based = keyed.select("key", "doc_id", n_words(F.col("norm")).cast("long").alias("n_words"), F.concat(*found).alias("at"), F.array_compact(F.array_distinct(F.array(*named))).alias("base"))
+    rows = norms.select("*", F.xxhash64("norm").alias("hash"), n_words(F.col("norm")).cast("long").alias("n_words"), *[at.alias(f"at{i}") for i, at in enumerate(found)])
+    named = [F.when(F.size(f"at{i}") > 0, F.lit(label)) for i, (_, label) in enumerate(phrases)]
+    rows = rows.withColumns({"at": F.concat(*[f"at{i}" for i in range(len(phrases))]), "base": F.array_compact(F.array_distinct(F.array(*named)))})
+    rows = written(rows.select("doc_id", "hash", "n_words", "at", "base", "held", "near", F.when(F.size("near") > 0, F.col("norm")).alias("norm")), "words")
+    hits = _hits(rows.select(F.struct("doc_id", "hash").alias("key"), "norm", "held", "near"), "key", table)
+    hits = hits.groupBy("key").agg(F.sort_array(F.collect_set("label")).alias("more"), F.max("score").alias("best"))
     hits = hits.select(F.col("key.doc_id").alias("d"), F.col("key.hash").alias("h"), "more", "best")
-    joined = based.join(hits, based["doc_id"].eqNullSafe(hits["d"]) & (based["key.hash"] == hits["h"]), "left")
+    joined = rows.join(hits, rows["doc_id"].eqNullSafe(hits["d"]) & (rows["hash"] == hits["h"]), "left")
     base = F.size("base") > 0
     return joined.select(
         "doc_id",
