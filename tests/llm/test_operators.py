@@ -115,13 +115,35 @@ def test_line_dedup_odd(none, odd):
     assert sorted(out, key=str) == sorted([(1, 0, text), (1, 0, text), (2, 0, None), (None, 1, "")], key=str)
 
 
-def test_line_runs_compact(spark, docs):
+def test_line_runs_compact_and_reopen(spark, docs, tmp_path):
     lines = common.written(line_dedup.line_keys(docs), "t")
-    runs = line_dedup.LineRuns(spark, fanout=2)
-    for i in range(5):
-        runs.add(lines.filter(F.col("ord") % 5 == i), 1000)
-    assert [len(x) for x in runs.levels] == [1, 0, 1]
-    assert runs.known().count() == runs.known().select("hi", "lo").distinct().count() == lines.select("hi", "lo").distinct().count()
+    path = f"file://{tmp_path}/runs"
+    for i in range(5):  # every batch by a store opened anew, as a later session would
+        runs = line_dedup.LineRuns(spark, path, buckets=3)
+        gone = runs.add(lines.filter(F.col("ord") % 5 == i))
+        seen = lines.filter(F.col("ord") % 5 <= i).select("hi", "lo").distinct().count()
+        assert runs.known().count() == runs.known().select("hi", "lo").distinct().count() == seen
+        assert gone.count() == lines.filter(F.col("ord") % 5 == i).count() - (seen - (before if i else 0))
+        before = seen
+        runs.close()
+    runs = line_dedup.LineRuns(spark, path)
+    assert [len(x) for x in runs.levels] == [1, 0, 1] and runs.version == 5 and runs.buckets == 3
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tileframe_run_")]
+
+
+def test_runs_are_read_without_shuffle_or_sort(spark, docs):
+    lines = common.written(line_dedup.line_keys(docs), "t")
+    runs = line_dedup.LineRuns(spark, buckets=3)
+    for i in range(3):
+        runs.add(lines.filter(F.col("ord") % 4 == i))
+    assert [len(x) for x in runs.levels] == [1, 1]
+    with runs._layout():
+        for df, sorts in ((runs.fresh(lines.filter(F.col("ord") % 4 == 3)), 1), (runs.merged(runs.levels[0][0], runs.levels[1][0]), 0)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("SortMergeJoin") == len(runs.levels) - (not sorts)
+            # the batch's own keys are shuffled and sorted, no run is
+            assert (plan.count("Exchange"), len(re.findall(r"\bSort \[", plan))) == (sorts, sorts), plan
+    runs.close()
 
 
 def brute_simhash(text):

@@ -1,14 +1,17 @@
 """Operator 2: line dedup over levelled sorted runs of line hashes.
 
-A run is a Parquet table (hi, lo, holder) of line keys, sorted within its partitions, where holder is
-the document that may keep the line. No key is in two runs. A new batch of documents is merge-joined
-with the runs: keys that they hold are known, the others become a new run of level 0. Once a level
-has FANOUT runs they are merged into one run of the next level, so the runs stay few.
+A run is a table (hi, lo, holder) of line keys in buckets by their hash, each one sorted file, where holder is the document that keeps
+the line. No key is in two runs. The keys of a new batch of documents are shuffled to the same buckets and merge-anti-joined with
+run after run, which are read as they lie, without a shuffle or a sort; what is left is the batch's own run, of level 0. Two
+runs of a level are merged, bucket by bucket, into one of the next, so there are at most as many runs as the number of
+batches has binary digits. A line stays if its document is the holder in its batch's own run.
 """
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,9 +20,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, scratch, skew_lookup, written
+from .common import documents, scratch, written
 
-FANOUT = 3
+#: Documents of a batch; over one table there are at most MOST_BATCHES, larger ones, as each waits for the one before.
+BATCH_ROWS, MOST_BATCHES = 50_000, 12
+#: Lines a bucket of all runs together, and buckets at most; larger tables have larger buckets.
+BUCKET_LINES, MOST_BUCKETS = 1 << 18, 1 << 16
 LEAST_CHARS = 10
 SPACE = b" \t\n\x0b\x0c\r"
 LAST = 2**63 - 1
@@ -70,68 +76,136 @@ def line_keys(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_keys, LINES)
 
 
-class LineRuns:
-    """Levelled sorted runs of line keys in the shared folder."""
+RUN = "hi long, lo long, holder long"
+STATE = "version long, level int, run string, buckets int"
+
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT):
-        self.spark, self.fanout, self.path = spark, fanout, scratch(spark, "runs")
-        self.levels: list[list[DataFrame]] = [[]]
-        self.made = 0
+@contextlib.contextmanager
+def _settings(spark: SparkSession, **values: object) -> Iterator[None]:
+    """The session's settings of these names (dots as double underscores) for a while."""
+    old = {k.replace("__", "."): spark.conf.get(k.replace("__", "."), None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k.replace("__", "."), str(v))
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
-    def _write(self, df: DataFrame) -> DataFrame:
-        self.made += 1
-        path = f"{self.path}/{self.made}"
-        df.sortWithinPartitions("hi", "lo").write.option("compression", "zstd").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
 
-    def known(self) -> DataFrame | None:
-        runs = [x for level in self.levels for x in level]
-        return functools.reduce(DataFrame.unionByName, runs) if runs else None
+class LineRuns:
+    """Levelled sorted runs of line keys below a path, a new one in the shared folder if none is given.
+
+    A path that runs were written to is opened as it was after the last batch, by any session, so that batches can
+    be added as a corpus grows; the number of buckets is that of its first time.
+    """
 
-    def add(self, lines: DataFrame, total: int) -> DataFrame:
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 8):
+        self.spark, self.path, self.buckets, self.version = spark, path or scratch(spark, "runs"), buckets, 0
+        #: Names of runs, by level.
+        self.levels: list[list[str]] = [[]]
+        self.named: set[str] = set()
+        if path and self._exists(f"{path}/state"):
+            state = spark.read.schema(STATE).parquet(f"{path}/state")
+            for r in state.join(state.agg(F.max("version").alias("version")), "version").orderBy("level", "run").collect():
+                self.version, self.buckets = r["version"], r["buckets"]
+                self.levels += [[] for _ in range(r["level"] + 1 - len(self.levels))]
+                self.levels[r["level"]].append(r["run"])
+
+    def _exists(self, path: str) -> bool:
+        own = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return own.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(own)
+
+    def sorted_run(self, run: str) -> DataFrame:
+        """A run as a bucketed table of the session's catalog, which is told of it if it is new to the session."""
+        self.named.add(run)
+        if not self.spark.catalog.tableExists(run):
+            columns, where = RUN.replace(" long", " BIGINT"), f"{self.path}/{run}".replace("'", "\\'")
+            self.spark.sql(f"CREATE TABLE {run} ({columns}) USING parquet CLUSTERED BY (hi, lo) SORTED BY (hi, lo) INTO {self.buckets} BUCKETS LOCATION '{where}'")
+        return self.spark.table(run)
+
+    def _write(self, rows: DataFrame) -> str:
+        """rows must come in tasks that hold whole buckets, so that each becomes one sorted file."""
+        run = f"tileframe_run_{uuid.uuid4().hex}"
+        self.named.add(run)
+        rows.select("hi", "lo", "holder").write.option("compression", "zstd").option("path", f"{self.path}/{run}").bucketBy(self.buckets, "hi", "lo").sortBy("hi", "lo").saveAsTable(run)
+        return run
+
+    def known(self) -> DataFrame:
+        """All keys that a batch has brought, with their holders."""
+        return functools.reduce(DataFrame.unionByName, [self.sorted_run(x) for level in self.levels for x in level], self.spark.createDataFrame([], RUN))
+
+    def fresh(self, lines: DataFrame) -> DataFrame:
+        """(hi, lo, holder) of the keys of line_keys() rows that no run has: the smallest ord holds one."""
+        keys = lines.groupBy("hi", "lo").agg(F.min("ord").alias("holder"))
+        for run in (x for level in reversed(self.levels) for x in level):
+            keys = keys.join(self.sorted_run(run).hint("merge"), ["hi", "lo"], "left_anti")
+        return keys
+
+    def add(self, lines: DataFrame) -> DataFrame:
         """Takes a batch of written line_keys() rows; returns its (ord, text_id, pos) that must go.
 
-        A key of an earlier batch stays with its holder; a new one stays with the batch's smallest ord.
+        A key of an earlier batch is lost to all of this one; a new one stays with the batch's smallest ord.
         """
-        keys = lines.groupBy("hi", "lo").agg(F.min("ord").alias("least"), F.max("ord").alias("most"), F.count("*").alias("n"))
-        known = self.known()
-        merged = keys.join(known, ["hi", "lo"], "left") if known is not None else keys.withColumn("holder", F.lit(None).cast("long"))
-        probe = self._write(merged)
-        self.levels[0].append(probe.filter("holder is null").select("hi", "lo", F.col("least").alias("holder")))
-        self._compact()
-        keeper = F.coalesce("holder", "least")
-        repeated = probe.filter("holder is not null or least < most").select("hi", "lo", keeper.alias("keeper"), "n")
-        return skew_lookup(lines, repeated, ["hi", "lo"], "n", total).filter("ord <> keeper").select("ord", "text_id", "pos")
+        with self._layout():
+            run = self._write(self.fresh(lines))
+            kept = self.spark.read.schema(RUN).parquet(f"{self.path}/{run}").withColumnRenamed("holder", "ord")
+            self.levels[0].append(run)
+            self._compact()
+        self.version += 1
+        rows = [(self.version, i, x, self.buckets) for i, level in enumerate(self.levels) for x in level]
+        self.spark.createDataFrame(rows, STATE).coalesce(1).write.mode("append").parquet(f"{self.path}/state")
+        # a hot key's lines are many, but each document's own; all three columns deal them out evenly
+        return lines.join(kept, ["hi", "lo", "ord"], "left_anti").select("ord", "text_id", "pos")
+
+    def _layout(self):
+        """Shuffles match the buckets, and the order of the one file that a bucket has is relied on."""
+        return _settings(self.spark, spark__sql__shuffle__partitions=self.buckets, spark__sql__legacy__bucketedTableScan__outputOrdering="true")
+
+    def merged(self, a: str, b: str) -> DataFrame:
+        """Two runs as one; they have no key in common, so a full outer merge join is their union in order."""
+        x, y = self.sorted_run(a).hint("merge"), self.sorted_run(b)
+        return x.join(y, (x["hi"] == y["hi"]) & (x["lo"] == y["lo"]), "full").select(*[F.coalesce(x[c], y[c]).alias(c) for c in ("hi", "lo", "holder")])
 
     def _compact(self) -> None:
         for i in range(len(self.levels)):
-            if len(self.levels[i]) >= self.fanout:
-                run = self._write(functools.reduce(DataFrame.unionByName, self.levels[i]).repartition("hi", "lo"))
-                self.levels[i] = []
+            if len(self.levels[i]) > 1:
                 if i + 1 == len(self.levels):
                     self.levels.append([])
-                self.levels[i + 1].append(run)
+                self.levels[i + 1].append(self._write(self.merged(*self.levels[i])))
+                self.levels[i] = []
+
+    def close(self) -> None:
+        """Takes the runs out of the session's catalog; their files stay."""
+        for run in self.named:
+            self.spark.sql(f"DROP TABLE IF EXISTS {run}")
+        self.named = set()
 
 
-def dropped_lines(docs: DataFrame, batches: int = 4) -> DataFrame:
+def dropped_lines(docs: DataFrame, batches: int | None = None) -> DataFrame:
     """(ord, text_id, gone): the lines that go, for each text that loses any; docs go through the runs in batches by doc_id."""
-    spark = docs.sparkSession
-    bounds = docs.select(F.expr(f"percentile_approx(doc_id, array({', '.join(str(i / batches) for i in range(1, batches))}), 1000)")).first()[0] or []
+    spark, rows = docs.sparkSession, docs.count()
+    batches = batches or max(1, min(MOST_BATCHES, -(-rows // BATCH_ROWS)))
+    cuts = ", ".join(str(i / batches) for i in range(1, batches))
+    bounds = (docs.select(F.expr(f"percentile_approx(doc_id, array({cuts}), 1000)")).first()[0] or []) if cuts else []
     batch = sum((F.col("ord") > F.lit(b)).cast("int") for b in sorted(set(bounds))) if bounds else F.lit(0)
     lines = written(line_keys(docs).withColumn("batch", F.lit(0) + batch), "lines", "batch")
-    counts, runs, gone = dict(lines.groupBy("batch").count().collect()), LineRuns(spark), []
+    counts, gone = dict(lines.groupBy("batch").count().collect()), []
+    runs = LineRuns(spark, buckets=max(1, min(MOST_BUCKETS, -(-sum(counts.values()) // BUCKET_LINES))))
     for b in sorted(counts):
-        gone.append(runs.add(lines.filter(F.col("batch") == b).drop("batch"), counts[b]))
+        gone.append(runs.add(lines.filter(F.col("batch") == b).drop("batch")))
+    runs.close()
     if not gone:
         return lines.select("ord", "text_id", F.array("pos").alias("gone"))
     return functools.reduce(DataFrame.unionByName, gone).groupBy("ord", "text_id").agg(F.collect_set("pos").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, batches: int = 4) -> DataFrame:
+def dedup_lines(docs: DataFrame, batches: int | None = None) -> DataFrame:
     """(doc, kept, n_lines, n_dropped) for every row of docs, where doc is a struct of all its columns.
 
     Null text counts as one empty line and stays null. A null doc_id is the largest; rows that share a
-    doc_id count as one document, so they all keep the lines of which it is the smallest holder.
+    doc_id count as one document, so they all keep the lines of which it is the smallest holder. Texts are taken whole, however long;
+    an empty table gives no rows. Columns of any name pass through within doc.
     """
     gone = dropped_lines(docs, batches)
     rows = _keyed(docs.select("doc_id", "text", F.struct(*docs.drop("text").columns).alias("doc")))
