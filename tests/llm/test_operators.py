@@ -453,15 +453,6 @@ def test_language(spark, none):
     assert language.fit(none).names == []
 
 
-def test_language_model_sums_to_one():
-    models = language.Models({"xx": ["abba baba ab", "bab ba"], "yy": ["cc"]})
-    letters = ["a", "b", "c"]
-    loss = models.word_losses([x + y for x in letters for y in letters] + letters)
-    p = np.exp(-loss[:9, 0])
-    two = p.sum()  # words of two letters and their ending
-    assert 0 < two < 1 and models.floor == pytest.approx(1 / 5)
-
-
 @pytest.mark.parametrize("small", [False, True])
 def test_topk(spark, monkeypatch, small):
     if small:

@@ -1,8 +1,9 @@
 """Operator 9: language identification by interpolated Kneser-Ney character models.
 
 Each language has a character model of order ORDER, within words that a space encloses. n-grams are 64-bit
-hashes in sorted arrays that all languages share, with a column for each. A text has the language of the lowest
-cross-entropy per character; it is marked as rejected beyond what its language's own texts show.
+hashes in sorted arrays that all languages share; behind each stand the languages that have it. A text has the language of the
+lowest cross-entropy per character. It is marked as rejected if that is higher than texts of its length and language
+show under a model that has not seen them.
 """
 
 from __future__ import annotations
@@ -16,15 +17,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, written
 
 ORDER = 5
-#: The fit takes about this many documents of each language, and about this many in all, by hash.
-FIT_DOCS, FIT_ALL = 400, 20_000
-#: Longer texts are used for a fit only if the language has no others.
-FIT_CHARS = 50_000
-MOST_LANGUAGES = 1000
+#: The fit takes about so many documents of each language, by hash, and of these about so many bytes of words: FIT_BYTES, or a like
+#: share of FIT_ALL if languages are many, but LEAST_BYTES at least. Languages are as many as there are.
+FIT_DOCS, FIT_BYTES, FIT_ALL, LEAST_BYTES = 4000, 1 << 20, 1 << 26, 1 << 16
+#: The share of texts in a language it knows that identify() does not reject.
 REJECT = 0.999
+#: Positions times languages that are looked up at once.
+CELLS = 1 << 22
 TEXT_CHARS = 1 << 20
 CACHE = 300_000
 UNDECIDED = "und"
@@ -91,42 +93,48 @@ def fit_one(counts: Counter) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, n
 
 
 class Models:
-    """All languages' models over shared sorted hash arrays."""
-
-    def __init__(self, texts: dict[str, list[str]]):
-        self.names = sorted(texts)
-        own = {name: Counter(w for text in texts[name] for chunk in text.split() for w in words(chunk)) for name in self.names}
-        self.names = [name for name in self.names if own[name]]
-        fits = [fit_one(own[name]) for name in self.names]
-        self.floor = 1.0 / (len({c for name in self.names for w in own[name] for c in w}) + 2)
+    """All languages' models over shared sorted hash arrays, from their words' counts."""
+
+    def __init__(self, counts: dict[str, Counter]):
+        self.names = sorted(name for name, own in counts.items() if own)
+        fits = [fit_one(counts[name]) for name in self.names]
+        self.floor = 1.0 / (len({c for name in self.names for w in counts[name] for c in w}) + 2)
+        #: For each order, of n-grams and then of contexts: hashes, where each one's languages begin, languages, values.
         self.tables = []
         for n in range(ORDER):
             table = []
-            for part, lacking in ((0, 0.0), (2, 1.0)):
-                keys = np.unique(np.concatenate([f[n][part] for f in fits])) if fits else np.zeros(0, "u8")
-                values = np.full((len(keys), len(fits)), lacking, "f4")
-                for i, f in enumerate(fits):
-                    values[np.searchsorted(keys, f[n][part]), i] = f[n][part + 1]
-                table += [keys, values]
+            for part in (0, 2):
+                keys = np.concatenate([f[n][part] for f in fits]) if fits else np.zeros(0, "u8")
+                langs = np.repeat(np.arange(len(fits), dtype="i4"), [len(f[n][part]) for f in fits])
+                values = np.concatenate([f[n][part + 1] for f in fits]).astype("f4") if fits else np.zeros(0, "f4")
+                order = np.argsort(keys, kind="stable")
+                distinct, first = np.unique(keys[order], return_index=True)
+                table.append((distinct, np.append(first, len(keys)), langs[order], values[order]))
             self.tables.append(table)
         self.cache: dict[str, int] = {}
         self.scores = np.zeros((0, len(self.names) + 1))
-        self.limits = np.full(len(self.names), np.inf)
-        for i, name in enumerate(self.names):
-            loss = self.losses(texts[name])
-            held = loss[loss[:, -1] > 0]
-            self.limits[i] = np.quantile(held[:, i] / held[:, -1], REJECT)
-        self.cache, self.scores = {}, self.scores[:0]
+        #: Each language's mean cross-entropy, what it varies by (that of long texts, and more in short ones), and how many times that passes.
+        self.means, self.spread, self.most = np.zeros(len(self.names)), (0.0, 0.0), np.inf
 
     def word_losses(self, distinct: list[str]) -> np.ndarray:
         """-ln of each word's probability in each language, and its characters with the space that ends it."""
+        out, at = np.zeros((len(distinct), len(self.names) + 1)), 0
+        ends = np.cumsum([len(w) + 2 for w in distinct])
+        while at < len(distinct):
+            before = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + CELLS // max(1, len(self.names)), "right")))
+            out[at:end] = self._word_losses(distinct[at:end])
+            at = end
+        return out
+
+    def _word_losses(self, distinct: list[str]) -> np.ndarray:
         x, place, owner = _positions(distinct)
         grams = _grams(x)
         p = np.full((len(x), len(self.names)), self.floor)
-        for n, (keys, shares, held, back) in enumerate(self.tables, 1):
+        for n, (shares, back) in enumerate(self.tables, 1):
             at = np.flatnonzero(place >= max(n - 1, 1))
             context = np.concatenate([np.zeros(1, "u8"), grams[n - 1][:-1]])[at]
-            p[at] = self._find(keys, shares, grams[n][at], 0.0) + self._find(held, back, context, 1.0) * p[at]
+            p[at] = self._find(shares, grams[n][at], 0.0) + self._find(back, context, 1.0) * p[at]
         loss = np.where(place[:, None] > 0, -np.log(np.maximum(p, 1e-12)), 0.0)
         out = np.zeros((len(distinct), len(self.names) + 1))
         for i in range(len(self.names)):
@@ -134,12 +142,18 @@ class Models:
         out[:, -1] = np.bincount(owner, place > 0, len(distinct))
         return out
 
-    @staticmethod
-    def _find(keys: np.ndarray, values: np.ndarray, asked: np.ndarray, lacking: float) -> np.ndarray:
+    def _find(self, table: tuple, asked: np.ndarray, lacking: float) -> np.ndarray:
+        keys, first, langs, values = table
+        out = np.full((len(asked), len(self.names)), lacking)
         if not len(keys):
-            return np.full((len(asked), values.shape[1]), lacking)
+            return out
         at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-        return np.where((keys[at] == asked)[:, None], values[at], lacking)
+        rows = np.flatnonzero(keys[at] == asked)
+        at = at[rows]
+        n = first[at + 1] - first[at]
+        place = np.arange(int(n.sum())) + np.repeat(first[at] - np.cumsum(n) + n, n)
+        out[np.repeat(rows, n), langs[place]] = values[place]
+        return out
 
     def losses(self, texts: list[str]) -> np.ndarray:
         """Each text's summed word_losses(); the last column is 0 without letters."""
@@ -177,31 +191,97 @@ class Models:
         score = 1 / np.exp(np.maximum(least[:, None] - own, -700)).sum(axis=1)
         entropy = np.where(known, least / np.maximum(chars, 1), np.nan)
         names = [self.names[b] if k else UNDECIDED for b, k in zip(best, known, strict=True)]
-        return names, np.where(known, np.clip(score, 0, 1), 0.0), entropy, ~known | (entropy > self.limits[best])
+        scale = np.sqrt(self.spread[0] + self.spread[1] / np.maximum(chars, 1))
+        far = entropy - self.means[best] > self.most * scale if np.isfinite(self.most) else np.zeros(len(known), bool)
+        return names, np.where(known, np.clip(score, 0, 1), 0.0), entropy, ~known | far
+
+
+def _own_words(text: str) -> list[str]:
+    return [w for chunk in text.split() for w in words(chunk)]
+
+
+def _word_counts(below: dict[str, int]):
+    """(lang, half, word, n) of texts (lang, text, mark); of a language's words those whose hash is below its bound, in 2^32."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: dict[tuple[str, int], Counter] = {}
+            for lang, text, mark in zip(*(batch.column(c).to_pylist() for c in ("lang", "text", "mark")), strict=True):
+                own = _own_words(text)
+                if below[lang] < 1 << 32:
+                    place = (np.arange(len(own), dtype="u8") + np.uint64(mark & (1 << 63) - 1)) * _STEP
+                    place ^= place >> np.uint64(29)
+                    kept = (place * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32) < below[lang]
+                    own = [w for w, k in zip(own, kept.tolist(), strict=True) if k]
+                counts.setdefault((lang, mark >> 7 & 1), Counter()).update(own)
+            rows = [(lang, half, w, n) for (lang, half), c in counts.items() for w, n in c.items()]
+            columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.string(), pa.int32(), pa.string(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "half", "word", "n"])
+
+    return run
+
+
+def _unseen(held):
+    """(lang, entropy, chars) of texts (lang, text, mark) in their own language, by the model of the half that lacks them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        halves = pickle.loads(held.value)
+        for batch in batches:
+            langs, entropy, chars = [], [], []
+            for lang, text, mark in zip(*(batch.column(c).to_pylist() for c in ("lang", "text", "mark")), strict=True):
+                model = halves[1 - (mark >> 7 & 1)]
+                if lang in model.names:
+                    loss = model.losses([text])[0]
+                    if loss[-1] > 0:
+                        langs, entropy, chars = [*langs, lang], [*entropy, loss[model.names.index(lang)] / loss[-1]], [*chars, loss[-1]]
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(entropy, pa.float64()), pa.array(chars, pa.float64())], ["lang", "entropy", "chars"])
+
+    return run
 
 
 def fit(docs: DataFrame) -> Models:
-    """Models of every non-null lang of docs (text, lang, mark), where mark is a hash that picks the bounded sample."""
-    short = F.char_length("text") <= FIT_CHARS
-    some = docs.filter("lang is not null and text is not null")
-    counts = some.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(short).alias("short")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
-    each = max(1, min(FIT_DOCS, FIT_ALL // max(1, len(counts))))
-    chosen = F.lit(False)
-    for r in counts:
-        share = int(min(1.0, each / (r["short"] or r["n"])) * (1 << 30))
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (F.pmod("mark", F.lit(1 << 30)) < max(share, 1)) & (short if r["short"] else F.lit(True)))
-    table = some.filter(chosen).select("lang", "text").toArrow()
-    texts: dict[str, list[str]] = {}
-    for lang, text in sorted(zip(table.column("lang").to_pylist(), table.column("text").to_pylist(), strict=True)):
-        texts.setdefault(lang, []).append(text)
-    return Models(texts)
+    """Models of every non-null lang of docs (text, lang, mark), where mark is a hash that picks the bounded sample.
+
+    The sample's halves, by mark, are fitted alone first: each half's texts are judged by the other's model, which tells how the
+    cross-entropy of unseen text varies with language and length. The models returned are of both halves.
+    """
+    spark = docs.sparkSession
+    some = docs.filter("lang is not null and text is not null").select("lang", "text", F.coalesce("mark", F.lit(0)).cast("long").alias("mark"))
+    counts = some.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).collect()
+    each = max(LEAST_BYTES, min(FIT_BYTES, FIT_ALL // max(1, len(counts))))
+    share = {r["lang"]: min(1.0, FIT_DOCS / r["n"]) for r in counts}
+    below = {r["lang"]: int(min(1.0, each / max(1.0, share[r["lang"]] * r["bytes"])) * (1 << 32)) for r in counts}
+    chances = spark.createDataFrame([(k, int(v * (1 << 30))) for k, v in share.items()], "lang string, docs long")
+    picked = F.pmod(F.xxhash64(F.lit("fit"), "mark"), F.lit(1 << 30)) < F.col("docs")
+    texts = written(some.join(F.broadcast(chances), "lang").filter(picked).select("lang", "text", "mark"), "sample")
+    found = texts.mapInArrow(_word_counts(below), "lang string, half int, word string, n long").groupBy("lang", "half", "word").agg(F.sum("n").alias("n"))
+    halves: list[dict[str, Counter]] = [{}, {}]
+    for lang, half, word, n in found.toLocalIterator():
+        halves[half].setdefault(lang, Counter())[word] = n
+    models = Models({lang: halves[0].get(lang, Counter()) + halves[1].get(lang, Counter()) for lang in share})
+    held = spark.sparkContext.broadcast(pickle.dumps([Models(own) for own in halves]))
+    unseen = written(texts.mapInArrow(_unseen(held), "lang string, entropy double, chars double"), "unseen")
+    means = {r["lang"]: (r["mean"], r["n"]) for r in unseen.groupBy("lang").agg(F.avg("entropy").alias("mean"), F.count("*").alias("n")).collect()}
+    whole = unseen.agg(F.avg("entropy")).first()[0]
+    if whole is None:
+        return models
+    models.means = np.array([means[x][0] if x in means else whole for x in models.names])
+    table = spark.createDataFrame([(k, v[0], v[1]) for k, v in means.items()], "lang string, mean double, n long")
+    off = unseen.join(F.broadcast(table), "lang").withColumn("d", (F.col("entropy") - F.col("mean")) * F.sqrt(F.col("n") / F.greatest(F.col("n") - 1, F.lit(1))))
+    long, short = off.agg(F.regr_intercept(F.col("d") ** 2, 1 / F.col("chars")), F.regr_slope(F.col("d") ** 2, 1 / F.col("chars"))).first()
+    every = off.agg(F.avg(F.col("d") ** 2)).first()[0]
+    models.spread = (long, short) if long and short and long > 0 and short > 0 else (max(every, 1e-6), 0.0)
+    scale = F.sqrt(F.lit(models.spread[0]) + F.lit(models.spread[1]) / F.col("chars"))
+    models.most = off.agg(F.percentile_approx(F.col("d") / scale, REJECT, F.lit(10_000))).first()[0]
+    return models
 
 
 def identify(docs: DataFrame, models: Models) -> DataFrame:
     """(doc_id, lang_pred, score, entropy, rejected) for every row of docs (doc_id, text).
 
     Text that is null or has no letter is `und` with score 0, no entropy, and rejected. Ties go to the first language by name.
-    Repeated rows have the same result each.
+    Repeated rows have the same result each, other columns are ignored, an empty table gives no rows, and texts are read whole
+    in blocks of about TEXT_CHARS, or of one text if it is longer.
     """
     held = docs.sparkSession.sparkContext.broadcast(pickle.dumps(models))
 
@@ -226,5 +306,5 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     fold = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(3))
-    models = fit(docs.filter(fold != 1).select("text", "lang", F.xxhash64("doc_id").alias("mark")))
+    models = fit(docs.filter(fold != 1).select("text", "lang", F.xxhash64("doc_id", "text").alias("mark")))
     return identify(docs, models).select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score", "entropy", "rejected")
