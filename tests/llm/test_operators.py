@@ -241,25 +241,27 @@ def brute_model(counts, vocabulary):
     return p
 
 
-def test_quality_model_is_kneser_ney(spark):
+@pytest.mark.parametrize("number, split", [(1, False), (7, False), (5, True)])
+def test_quality_model_is_kneser_ney(spark, number, split):
     rng = random.Random(1)
     ids = [np.array(rng.choices(range(500, 512), [2 ** (i / 2) for i in range(12)], k=40), "u2") for _ in range(20)]
-    counts = Counter()
-    for x in ids:
-        padded = [0, 0, *map(int, x)]
-        counts.update(zip(padded, padded[1:], padded[2:], strict=False))
-    key = lambda g: (g[0] << 36) | (g[1] << 18) | g[2]
-    three = common.written(spark.createDataFrame([(key(g), c) for g, c in counts.items()], "gram long, c long"), "t")
-    asked = [*ids[:3], np.array([500, 999, 500, 511, 3], "u2"), np.zeros(0, "u2")]
-    tokens = common.written(spark.createDataFrame([(i, 0, bytearray(x.tobytes())) for i, x in enumerate(asked)] + [(None, -1, bytearray())], "doc_id long, lang int, ids binary").repartition(3), "t")
-    p = brute_model(counts, 1000)
-    for shards in (1, 7):
-        out = {r["doc_id"]: r for r in quality.score(tokens, three, shards, 1000).collect()}
-        assert len(out) == len(asked) + 1 and out[None]["lang"] == -1 and out[None]["n"] == 0
-        for i, x in enumerate(asked):
-            padded = [0, 0, *map(int, x)]
-            assert out[i]["n"] == len(x)
-            assert math.isclose(out[i]["loss"], -sum(math.log(p(g)) for g in zip(padded, padded[1:], padded[2:], strict=False)), rel_tol=1e-4, abs_tol=1e-9)
+    counts = {lang: Counter() for lang in (0, 1)}
+    grams = lambda x: zip([0, 0, *map(int, x)], [0, *map(int, x)], map(int, x), strict=False)
+    for i, x in enumerate(ids):
+        counts[i % 2].update(grams(x))
+    rows = lambda own: common.written(spark.createDataFrame(own, quality.TOKENS).repartition(3), "t")
+    train = rows([(i, i, i % 2, bytearray(x.tobytes())) for i, x in enumerate(ids)])
+    asked = [*ids[:3], np.array([500, 999, 500, 511, 3], "u2"), np.zeros(0, "u2"), np.array([511] * 50, "u2")]
+    tokens = rows([(i, -i, i % 2, bytearray(x.tobytes())) for i, x in enumerate(asked)] + [(None, 7, -1, bytearray())])
+    # every middle word split over several shards, or none
+    shards = quality.Shards(number, {lang << quality.BITS | v: 0.4 for lang in (0, 1) for v in (0, *range(500, 512))} if split else {})
+    assert (shards.parts_of(np.array([500, 1 << quality.BITS | 511])) > 1).all() == split
+    out = {r["doc_id"]: r for r in quality.score(tokens, train, shards, 2, 1000).collect()}
+    assert len(out) == len(asked) + 1 and out[None]["lang"] == -1 and out[None]["n"] == 0 and out[None]["mark"] == 7
+    for i, x in enumerate(asked):
+        p = brute_model(counts[i % 2], 1000)
+        assert out[i]["n"] == len(x) and out[i]["mark"] == -i
+        assert math.isclose(out[i]["loss"], -sum(math.log(p(g)) for g in grams(x)), rel_tol=1e-4, abs_tol=1e-9)
 
 
 def test_syncmers(docs, texts, none, odd):

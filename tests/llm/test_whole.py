@@ -93,6 +93,30 @@ def test_quality_judges_every_trusted_language(spark, monkeypatch, bound):
     assert out[len(labels)]["keep"] and out[len(labels)]["threshold"] is None
 
 
+def test_forty_languages_lose_their_junk_and_keep_the_rest(spark, tmp_path):
+    rng, rows, labels = random.Random(9), [], []
+    for lang in range(40):
+        words = [f"l{lang}{chr(97 + i)}" for i in range(20)]
+        for i in range(31):
+            text = rng.choices(words, k=rng.randint(40, 90)) if i < 30 else [f"{rng.random()}@#{j}" for j in range(80)]
+            rows.append((len(rows), " ".join(text), f"lang{lang}", "x", 1.0))
+            labels.append((len(labels), int(i < 30), 0))
+    rows += [rows[0], (None, rows[30][1], "lang0", "x", 1.0), (None, rows[1][1], "lang0", "x", 1.0), (2000, None, "lang1", "x", 1.0), (2001, "", None, "x", 1.0), (rows[30][0], rows[2][1], "lang0", "x", 1.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, keep string, perplexity double")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = quality.op3_quality(spark, str(tmp_path)).collect()
+    assert len(out) == len(rows) and {r["lang"] for r in out} == {f"lang{i}" for i in range(40)} | {None}
+    goes = {(d, t) for d, t, *_ in rows if t and "@#" in t}
+    kept = quality.keep_good(docs, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    assert kept.columns == docs.columns
+    left = [tuple(r) for r in kept.collect()]
+    # a junk text goes and the good text that shares its doc_id stays
+    assert not {r[:2] for r in left} & goes and (rows[30][0], rows[2][1]) in {r[:2] for r in left}
+    assert len(left) >= len(rows) - len(goes) - 3 and left.count(rows[0]) == 2
+    assert all((r["perplexity"] <= r["threshold"]) == r["keep"] for r in out if r["threshold"] is not None)
+
+
 def test_models_pool_what_cannot_stand_alone(monkeypatch):
     monkeypatch.setattr(quality, "MOST_LANGUAGES", 3)
     assert quality._models([("a", 9, 1), ("b", 8, 1), ("c", 7, 1)]) == (["a", "b", "c"], {"a": 0, "b": 1, "c": 2})
