@@ -111,11 +111,15 @@ class Models:
                 distinct, first = np.unique(keys[order], return_index=True)
                 table.append((distinct, np.append(first, len(keys)), langs[order], values[order]))
             self.tables.append(table)
+        self.rows: dict[int, np.ndarray] = {}
         self.cache: dict[str, int] = {}
         self.scores = np.zeros((0, len(self.names) + 1))
         #: Each language's mean cross-entropy, what it varies by (that of long texts, and more in short ones), and how many times that passes.
         self.means, self.spread, self.most = np.zeros(len(self.names)), (0.0, 0.0), np.inf
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"rows": {}, "cache": {}, "scores": self.scores[:0]}
+
     def word_losses(self, distinct: list[str]) -> np.ndarray:
         """-ln of each word's probability in each language, and its characters with the space that ends it."""
         out, at = np.zeros((len(distinct), len(self.names) + 1)), 0
@@ -148,6 +152,11 @@ class Models:
         if not len(keys):
             return out
         at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+        if len(keys) * len(self.names) <= CELLS:  # few enough for a row of each n-gram
+            if id(table) not in self.rows:
+                self.rows[id(table)] = rows = np.full((len(keys), len(self.names)), lacking, "f4")
+                rows[np.repeat(np.arange(len(keys)), np.diff(first)), langs] = values
+            return np.where((keys[at] == asked)[:, None], self.rows[id(table)][at], lacking)
         rows = np.flatnonzero(keys[at] == asked)
         at = at[rows]
         n = first[at + 1] - first[at]
@@ -196,6 +205,18 @@ class Models:
         return names, np.where(known, np.clip(score, 0, 1), 0.0), entropy, ~known | far
 
 
+def _text_blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """(start, end) of runs of texts with TEXT_CHARS characters in all, or of one that has more."""
+    at = 0
+    while at < len(texts):
+        end, chars = at, 0
+        while end < len(texts) and (chars == 0 or chars + len(texts[end]) <= TEXT_CHARS):
+            chars += len(texts[end]) or 1
+            end += 1
+        yield at, end
+        at = end
+
+
 def _own_words(text: str) -> list[str]:
     return [w for chunk in text.split() for w in words(chunk)]
 
@@ -228,12 +249,16 @@ def _unseen(held):
         halves = pickle.loads(held.value)
         for batch in batches:
             langs, entropy, chars = [], [], []
-            for lang, text, mark in zip(*(batch.column(c).to_pylist() for c in ("lang", "text", "mark")), strict=True):
-                model = halves[1 - (mark >> 7 & 1)]
-                if lang in model.names:
-                    loss = model.losses([text])[0]
-                    if loss[-1] > 0:
-                        langs, entropy, chars = [*langs, lang], [*entropy, loss[model.names.index(lang)] / loss[-1]], [*chars, loss[-1]]
+            names, texts, marks = (batch.column(c).to_pylist() for c in ("lang", "text", "mark"))
+            for half, model in enumerate(halves):
+                place = {name: i for i, name in enumerate(model.names)}
+                own = [i for i, mark in enumerate(marks) if mark >> 7 & 1 != half and names[i] in place]
+                for a, b in _text_blocks([texts[i] for i in own]):
+                    for i, loss in zip(own[a:b], model.losses([texts[i] for i in own[a:b]]), strict=True):
+                        if loss[-1] > 0:
+                            langs.append(names[i])
+                            entropy.append(loss[place[names[i]]] / loss[-1])
+                            chars.append(loss[-1])
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(entropy, pa.float64()), pa.array(chars, pa.float64())], ["lang", "entropy", "chars"])
 
     return run
@@ -288,17 +313,12 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = pickle.loads(held.value)
         for batch in batches:
-            at, texts = 0, ["" if x is None else x for x in batch.column("text").to_pylist()]
-            while at < len(texts):
-                end, chars = at, 0
-                while end < len(texts) and (chars == 0 or chars + len(texts[end]) <= TEXT_CHARS):
-                    chars += len(texts[end]) or 1
-                    end += 1
+            texts = ["" if x is None else x for x in batch.column("text").to_pylist()]
+            for at, end in _text_blocks(texts):
                 names, score, entropy, rejected = own.predict(texts[at:end])
                 found = [pa.array(names, pa.string()), pa.array(score), pa.array(entropy, from_pandas=True), pa.array(rejected)]
                 arrays = [batch.column("doc_id").slice(at, end - at), *found]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang_pred", "score", "entropy", "rejected"])
-                at = end
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double, entropy double, rejected boolean")
 
