@@ -18,7 +18,7 @@ SHARED = {
        (p_partkey*13 % 100)/cast(100 as double) as rect, case when p_partkey % 2 = 0 then p_partkey*37 % 2500 else p_partkey*p_partkey % 150000 end as size,
        p_partkey % 5 as num_lines, (p_partkey % 20)/cast(10 as double) as red from part""",
     "line_segments": """select event_id as line_id, event_id % 100 as seg, event_id*7 % 256 as x1, event_id*11 % 256 as y1, event_id*29 % 251 as x2, event_id*17 % 241 as y2
-       from events where event_id < 2000""",
+       from events""",
     "block_status": """select c_custkey as idx, c_custkey % 2 = 0 as overall_status, c_custkey % 3 <> 0 as download_status_17, c_custkey % 5 = 0 as download_status_18, c_custkey % 4 = 0 as model_status from customer""",
     "places": """select s_suppkey, r_name as state, n_name as district, concat(s_name, ' (x)!') as block
        from supplier join nation on s_nationkey=n_nationkey join region on n_regionkey=r_regionkey""",

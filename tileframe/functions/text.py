@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters that asset names keep, and where task identifiers stand.
+# Characters that asset names keep, and where task identifiers stand, first match first.
 UNSAFE = r"[^a-zA-Z0-9 .,:;_\-]"
-TASK_PATTERNS = (r"ID: ([A-Z0-9]+)", r"task (?:id|ID)[:=]? ?([A-Z0-9]+)", r"\b([A-Z0-9]{24})\b")
+TASK_PATTERNS = (r"Started upload task with ID: ([a-zA-Z0-9_]+)", r"Task ID: ([a-zA-Z0-9_]+)", r"ID: ([a-zA-Z0-9_]+)")
 
 
 def valid_text(s: Column) -> Column:
@@ -45,12 +45,29 @@ def chunk_indices(name: Column) -> Column:
 
 
 def tile_numbers(name: Column, exact: bool = False) -> Column:
-    """struct<x_tile, y_tile> from a tile's name; null if it has under 4 parts, or with exact not just 4."""
-    stem = F.split_part(F.regexp_replace(name, r"\.tif$", ""), F.lit(" "), F.lit(1))
-    parts = F.split(stem, "_")
-    number = lambda k: F.get(parts, F.lit(k)).try_cast("bigint")
+    """struct<x_tile, y_tile> from a tile's name or path, null if it has none.
+
+    As for ponds: of at least 4 parts of the last path element, the third, and the fourth up to a dot or space. With exact, as for
+    wells: of just 4 parts of the whole name without its .tif, the last two.
+    """
+    parts = F.split(F.replace(name, F.lit(".tif"), F.lit("")) if exact else F.element_at(F.split(name, "/"), -1), "_")
+    last = F.get(parts, F.lit(3))
+    x, y = F.get(parts, F.lit(2)).try_cast("bigint"), (last if exact else F.split_part(F.trim(F.split_part(last, F.lit("."), F.lit(1))), F.lit(" "), F.lit(1))).try_cast("bigint")
     enough = F.size(parts) == 4 if exact else F.size(parts) >= 4
-    return F.when(enough & number(2).isNotNull() & number(3).isNotNull(), F.struct(number(2).alias("x_tile"), number(3).alias("y_tile")))
+    return F.when(enough & x.isNotNull() & y.isNotNull(), F.struct(x.alias("x_tile"), y.alias("y_tile")))
+
+
+def corner_pair(text: Column) -> Column:
+    """struct<tl, br> of lat and lon from a stored "((lat, lon), (lat, lon))"; null if it has not four numbers."""
+    numbers = F.transform(F.regexp_extract_all(text, F.lit(r"([-+]?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?)"), F.lit(1)), lambda x: x.cast("double"))
+    at = lambda i: F.struct(F.get(numbers, F.lit(i)).alias("lat"), F.get(numbers, F.lit(i + 1)).alias("lon"))
+    return F.when(F.size(numbers) == 4, F.struct(at(0).alias("tl"), at(2).alias("br")))
+
+
+def corner_text(tl: Column, br: Column) -> Column:
+    """The text that corner_pair() reads."""
+    pair = lambda p: F.concat(F.lit("("), p["lat"].cast("string"), F.lit(", "), p["lon"].cast("string"), F.lit(")"))
+    return F.concat(F.lit("("), pair(tl), F.lit(", "), pair(br), F.lit(")"))
 
 
 def name_numbers(name: Column) -> Column:

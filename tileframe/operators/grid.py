@@ -77,6 +77,18 @@ def tiles_of(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     return F.flatten(F.transform(span(x0, x1), lambda x: F.transform(span(y0, y1), lambda y: F.struct(x.alias("x"), y.alias("y")))))
 
 
+def tile_range(minx: Column, miny: Column, maxx: Column, maxy: Column, z: int) -> Column:
+    """struct<xmin, xmax, ymin, ymax> of the whole tiles that a box's four corners are in; both ends belong to it."""
+    tiles = [merc.tile_xy(lat, lon, z) for lat in (miny, maxy) for lon in (minx, maxx)]
+    ends = [f(*[t[c] for t in tiles]).alias(f"{c}{n}") for c in "xy" for n, f in (("min", F.least), ("max", F.greatest))]
+    return F.struct(*ends)
+
+
+def tiles_within(span: Column) -> Column:
+    """array<struct<x, y>> of a tile_range(), both ends included."""
+    return F.flatten(F.transform(F.sequence(span["xmin"], span["xmax"]), lambda x: F.transform(F.sequence(span["ymin"], span["ymax"]), lambda y: F.struct(x.alias("x"), y.alias("y")))))
+
+
 def sample_grid(height: Column, width: Column, sh: int, sw: int, bound: int) -> Column:
     """array of overlapping windows: origin, size with halo, and what to trim of the halo."""
     ys, xs = F.sequence(F.lit(-bound), height - 1, F.lit(sh)), F.sequence(F.lit(-bound), width - 1, F.lit(sw))

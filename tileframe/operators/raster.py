@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import kernels, windows
+
 
 def stitch(chunks: DataFrame, size: int) -> DataFrame:
     """Chunk pixels (i, j, r, c): i counts chunks along x, j along y. Adds the whole raster's row and col."""
@@ -71,27 +73,82 @@ def band_means(pixels: DataFrame, bands: list[str], *keys: str) -> DataFrame:
     return pixels.groupBy(*keys).agg(*[(F.sum(b) / box).alias(b) for b in bands])
 
 
-def local_entropy(pixels: DataFrame, radius: int, *keys: str) -> DataFrame:
-    """Adds ent: the entropy in bits of the values g of the pixels present in the disk around each pixel.
+def local_entropy(pixels: DataFrame, radius: int, *keys: str, size: int = 256) -> DataFrame:
+    """Pixels (keys, r, c, g) with ent: the entropy in bits of the values g, from 0 up, of those present in the disk around each.
 
-    Each pixel is sent to the disk's offsets and met by an equi-join, so the work is pixels times disk area. Only pixels
-    present (the mask) count and have a value.
+    It is computed in windows of bounded size that carry a halo of the radius. Only pixels present (the mask) count and have a value.
     """
-    disk = [(dr, dc) for dr in range(-radius, radius + 1) for dc in range(-radius, radius + 1) if dr * dr + dc * dc <= radius * radius]
-    offsets = F.array(*[F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc")) for a, b in disk])
-    sent = pixels.withColumn("o", F.explode(offsets)).select(*keys, (F.col("r") + F.col("o.dr")).alias("r"), (F.col("c") + F.col("o.dc")).alias("c"), "g")
-    counts = sent.groupBy(*keys, "r", "c", "g").agg(F.count("*").alias("n"))
-    n, total = F.col("n"), F.col("total")
-    # sum of -n/t log2(n/t) is log2 t - sum(n log2 n)/t, one pass
-    ent = counts.groupBy(*keys, "r", "c").agg(F.sum("n").alias("total"), F.sum(n * F.log2(n)).alias("s")).withColumn("ent", F.log2(total) - F.col("s") / total)
-    return pixels.join(ent.select(*keys, "r", "c", "ent"), [*keys, "r", "c"])
+    rows = pixels.select(*keys, "r", "c", F.col("g").cast("double").alias("v"))
+    found = windows.map_windows(rows, lambda v: kernels.entropy(v.astype("i8"), radius), max(size, 2 * radius), radius, -1.0, None, *keys)
+    return pixels.join(found.withColumnRenamed("v", "ent"), [*keys, "r", "c"])
 
 
 def entropy_score(pixels: DataFrame, above: float, *keys: str) -> DataFrame:
-    """Sum of the entropies above a limit over the number of pixels."""
+    """Sum of the entropies above a limit over the number of pixels. Limits are 5.2 at radius 5, and 0 at radius 30 for plantations."""
     return pixels.groupBy(*keys).agg((F.coalesce(F.sum(F.when(F.col("ent") > above, F.col("ent"))), F.lit(0.0)) / F.count("*")).alias("score"))
 
 
+def pond_entropy(pixels: DataFrame, *keys: str) -> DataFrame:
+    """(keys, entropy) of images (keys, r, c, red, green, blue, m): the score at radius 5 within the mask m, after a stretch of the whole image to bytes.
+
+    An image without a mask has 0, and so has one whose grey is the same everywhere.
+    """
+    gray = pixels.withColumn("gray", F.rint(luma(F.col("red"), F.col("green"), F.col("blue"))))
+    ends = gray.groupBy(*keys).agg(F.min("gray").alias("least"), F.max("gray").alias("most"))
+    byte = F.rint(F.try_divide(F.col("gray") - F.col("least"), F.col("most") - F.col("least")) * 255)
+    own = gray.filter("m > 0").join(ends, list(keys)).select(*keys, "r", "c", F.coalesce(byte, F.lit(0.0)).cast("int").alias("g"))
+    score = entropy_score(local_entropy(own, 5, *keys), 5.2, *keys)
+    return ends.select(*keys).join(score, list(keys), "left").select(*keys, F.coalesce("score", F.lit(0.0)).alias("entropy"))
+
+
+def tile_pixels(tiles: DataFrame, bbox: Column, size: int, *keys: str) -> DataFrame:
+    """Pixels (keys, x, y, r, c, red, green, blue, alpha) of tiles as those of their mosaic, row and col being counted from the corner of bbox (minx, miny in tiles).
+
+    alpha is null for tiles without one. A tile with alpha that is empty, all transparent or black all over, is left out; one without is pasted as it is.
+    """
+    tile = Window.partitionBy(*keys, "x", "y")
+    most = lambda c: F.max(c).over(tile) == 0
+    black = most("red") & most("green") & most("blue")
+    empty = F.coalesce(F.max("alpha").over(tile).isNotNull() & (most("alpha") | black), F.lit(False))
+    kept = tiles.withColumn("__empty", empty).filter("not __empty").drop("__empty")
+    return kept.withColumns({"row": F.col("r") + size * (F.col("y") - bbox["miny"]), "col": F.col("c") + size * (F.col("x") - bbox["minx"])})
+
+
+def is_empty(tiles: DataFrame, *keys: str) -> DataFrame:
+    """(keys, empty) of images (keys, red, green, blue, alpha): whether all is black, or all is transparent where there is alpha."""
+    black = (F.max("red") == 0) & (F.max("green") == 0) & (F.max("blue") == 0)
+    return tiles.groupBy(*keys).agg((black | F.coalesce(F.max("alpha") == 0, F.lit(False))).alias("empty"))
+
+
+def crop(pixels: DataFrame, x0: float, y0: float, x1: float, y1: float, bbox: tuple[int, int], size: int) -> DataFrame:
+    """Mosaic pixels (row, col) within a box in fractional tiles, counted from its corner; an alpha that is 255 throughout becomes null."""
+    left, top = round(size * (x0 - bbox[0])), round(size * (y0 - bbox[1]))
+    width, height = round(size * (x1 - x0)), round(size * (y1 - y0))
+    own = pixels.filter(F.col("col").between(left, left + width - 1) & F.col("row").between(top, top + height - 1))
+    own = own.withColumns({"row": F.col("row") - top, "col": F.col("col") - left})
+    opaque = own.agg(F.coalesce(F.min("alpha") == 255, F.lit(True)).alias("__opaque"))
+    return own.crossJoin(F.broadcast(opaque)).withColumn("alpha", F.when(~F.col("__opaque"), F.col("alpha"))).drop("__opaque")
+
+
+def mask_crop(pixels: DataFrame, *keys: str) -> DataFrame:
+    """Each label's cut-out: the pixels of its bounding box (keys, label, r, c and colours), with zeros and alpha 0 outside its mask.
+
+    Rows go to the labels whose box they are in by the rows and columns of the boxes, cell by cell.
+    """
+    box = label_boxes(pixels.filter("label > 0"), *keys, "label")
+    cells = box.select(*keys, F.col("label").alias("of"), F.explode(F.sequence("min_r", "max_r")).alias("r"), F.sequence("min_c", "max_c").alias("cs")).withColumn("c", F.explode("cs")).drop("cs")
+    own = F.col("label").eqNullSafe(F.col("of"))
+    colour = {c: F.when(own, F.col(c)).otherwise(0) for c in ("red", "green", "blue")}
+    out = cells.join(pixels, [*keys, "r", "c"], "left").select(*keys, F.col("of").alias("segment"), "r", "c", *[v.alias(k) for k, v in colour.items()], F.when(own, 255).otherwise(0).alias("alpha"))
+    return out
+
+
+def channels(pixels: DataFrame, *keys: str) -> DataFrame:
+    """Rows (keys, r, c, band, v) of separate bands as one row a pixel with the first three; further bands go."""
+    bands = [F.max(F.when(F.col("band") == i, F.col("v"))).alias(name) for i, name in enumerate(("red", "green", "blue"))]
+    return pixels.filter("band < 3").groupBy(*keys, "r", "c").agg(*bands)
+
+
 def exposed_edges(pixels: DataFrame, *keys: str) -> DataFrame:
     """Perimeter of the set of pixels: sides that no other pixel of the group shares."""
     sides = F.array(*[F.struct((F.col("r") * 2 + a).alias("y"), (F.col("c") * 2 + b).alias("x")) for a, b in ((0, 1), (0, -1), (1, 0), (-1, 0))])

@@ -82,3 +82,23 @@ def top_contour(contours: DataFrame, *keys: str) -> DataFrame:
     """The contour of largest area; of equal ones the first."""
     window = Window.partitionBy(*keys).orderBy(F.col("area").desc(), "position")
     return contours.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
+
+
+def sized(regions: DataFrame, least: int = 10, most: int | None = None, area: str = "area") -> DataFrame:
+    """Regions of at least and at most so many pixels."""
+    return regions.filter((F.col(area) >= least) & (F.col(area) <= most if most is not None else F.lit(True)))
+
+
+def in_folder_order(blocks: DataFrame, key: str) -> DataFrame:
+    """By name, as folders are listed: 10 comes before 2."""
+    return blocks.orderBy(F.col(key).cast("string"))
+
+
+def in_chunk_order(chunks: DataFrame) -> DataFrame:
+    """By number: i, then j."""
+    return chunks.orderBy("i", "j")
+
+
+def extent(chunks: DataFrame) -> DataFrame:
+    """One row: the largest i, j and label."""
+    return chunks.agg(F.max("i").alias("max_i"), F.max("j").alias("max_j"), F.max("label").alias("max_label"))

@@ -6,11 +6,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import geometry as geo
+from ..functions import mercator as merc
 from . import kernels
 
 POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
@@ -72,6 +74,59 @@ def polygonise(labels: DataFrame, image: str = "img") -> DataFrame:
     return kind.groupBy(image).applyInPandas(run, schema)
 
 
+def region_groups(pixels: DataFrame, image: str = "img", value: str = "m", connectivity: int = 1, min_size: int = 10, max_size: int | None = None, threshold: int | None = None) -> DataFrame:
+    """(image, r, c, label) of a raster's regions of equal value, sized, filled and numbered as by kernels.region_groups(); pixels of value 0 must be present."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        dense, r, c = _dense(pdf, value)
+        return pdf.assign(label=kernels.region_groups(dense, connectivity, min_size, max_size, threshold)[r, c])[[image, "r", "c", "label"]]
+
+    kind = pixels.select(image, "r", "c", F.col(value).cast("int").alias(value))
+    return kind.groupBy(image).applyInPandas(run, T.StructType([*kind.select(image, "r", "c").schema.fields, T.StructField("label", T.IntegerType())]))
+
+
+def _segments(labels: DataFrame, image: str, label: str, columns: list[str], fields: list[T.StructField], rows_of: Callable[[np.ndarray, pd.DataFrame], list[tuple]]) -> DataFrame:
+    """(image, label, fields) from each segment's mask, cut to its bounds, and its pixels; rows_of may give none or several rows."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for name, own in pdf.groupby(label, sort=True):
+            y, x = own["r"] - own["r"].min(), own["c"] - own["c"].min()
+            mask = np.zeros((y.max() + 1, x.max() + 1), bool)
+            mask[y, x] = True
+            rows += [(pdf[image].iloc[0], name, *found) for found in rows_of(mask, own.assign(r=y, c=x))]
+        return pd.DataFrame(rows, columns=[image, label, *[f.name for f in fields]])
+
+    kind = labels.select(image, label, "r", "c", *columns)
+    return kind.groupBy(image).applyInPandas(run, T.StructType([kind.schema[image], kind.schema[label], *fields]))
+
+
+def region_table(labels: DataFrame, image: str = "img", intensity: str | None = None) -> DataFrame:
+    """All properties of the regions (image, label) of a raster: moments by one aggregation, and the areas and perimeter that need the mask."""
+    own = labels.filter("label > 0")
+    fields = [T.StructField("area_convex", T.DoubleType()), T.StructField("area_filled", T.DoubleType()), T.StructField("perimeter", T.DoubleType())]
+    shape = lambda mask, _: [(float(kernels.convex_area(mask)), float(kernels.filled_area(mask)), kernels.perimeter(mask))]
+    out = region_properties(own, image, "label", intensity=intensity).join(_segments(own, image, "label", [], fields, shape), [image, "label"])
+    return out.withColumn("solidity", F.col("area") / F.col("area_convex"))
+
+
+def segment_lines(pixels: DataFrame, image: str = "img", erode: int = 3, least: int = 50, gap: int = 30) -> DataFrame:
+    """(image, label, x1, y1, x2, y2): straight edges within each segment of pixels (image, label, r, c, g)."""
+    fields = [T.StructField(x, T.LongType()) for x in ("x1", "y1", "x2", "y2")]
+
+    def found(mask: np.ndarray, own: pd.DataFrame) -> list[tuple]:
+        gray = np.zeros(mask.shape)
+        gray[own["r"], own["c"]] = own["g"]
+        return kernels.lines(gray, mask, least, gap, erode)
+
+    return _segments(pixels.filter("label > 0"), image, "label", ["g"], fields, found)
+
+
+def many_lines(pixels: DataFrame, image: str = "img") -> DataFrame:
+    """(image, label) of the segments that have more than two straight edges in a mask that isn't eroded."""
+    return segment_lines(pixels, image, erode=1).groupBy(image, "label").agg(F.count("*").alias("n")).filter("n > 2").drop("n")
+
+
 def region_properties(labels: DataFrame, *keys: str, intensity: str | None = None) -> DataFrame:
     """Moment properties of the pixels of each region, by one aggregation.
 
@@ -142,6 +197,24 @@ def orthogonalise(ring: Column, max_angle_change: float = 15.0, skew_tolerance:
     return map_rings(lambda p: kernels.orthogonalise(p, max_angle_change, skew_tolerance))(ring)
 
 
+def to_crs(ring: Column, source: int, target: int) -> Column:
+    """A ring (x, y) in another reference system."""
+    return F.transform(ring, lambda p: merc.transform_coords(p.x, p.y, source, target))
+
+
+def sphere_area(ring: Column) -> Column:
+    """Area in square kilometres of a ring (lon, lat) on the sphere, edges being straight in longitude and the sine of latitude."""
+    part = lambda e: F.radians(e.b.x - e.a.x) * (2 + F.sin(F.radians(e.a.y)) + F.sin(F.radians(e.b.y)))
+    return F.abs(F.aggregate(geo.edges(ring), F.lit(0.0), lambda s, e: s + part(e))) * (6371.0088**2 / 2)
+
+
+def centroid_cells(ring: Column, transform: Column, source: int = 4326, target: int = 4326) -> Column:
+    """struct<row, col> of a raster's cell that a ring's area centroid falls in."""
+    at = geo.area_centroid(ring)
+    p = merc.transform_coords(at["x"], at["y"], source, target)
+    return merc.to_rowcol(p["x"], p["y"], transform)
+
+
 def spatial_semi(features: DataFrame, region: DataFrame, cell: float) -> DataFrame:
     """Point features (x, y) within any polygon (ring) of region, by an equi-join on grid cells and the exact predicate.
 
@@ -204,13 +277,15 @@ def dissolve(polygons: DataFrame, distance: float, cell: float) -> DataFrame:
     """
     joined = polygons.join(clusters(polygons, 2 * distance, cell), "id")
 
-    @F.pandas_udf(T.ArrayType(T.ArrayType(RING)))
-    def merge(groups: pd.Series) -> pd.Series:
-        out = []
-        for rings in groups:
-            merged = kernels.closing([[np.array([(p["x"], p["y"]) for p in ring], "f8")] for ring in rings], distance)
-            out.append([[[{"x": float(x), "y": float(y)} for x, y in r] for r in own] for own in merged])
-        return pd.Series(out)
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, geoms = [], []
+            for cluster, rings in zip(batch.column("cluster").to_pylist(), batch.column("rings"), strict=True):
+                merged = kernels.closing([[np.array([(p["x"], p["y"]) for p in ring], "f8")] for ring in rings.as_py()], distance)
+                names += [cluster] * len(merged)
+                geoms += [[[{"x": float(x), "y": float(y)} for x, y in r] for r in own] for own in merged]
+            point = pa.struct([("x", pa.float64()), ("y", pa.float64())])
+            yield pa.RecordBatch.from_arrays([pa.array(names, batch.column("cluster").type), pa.array(geoms, pa.list_(pa.list_(point)))], ["cluster", "geom"])
 
     groups = joined.groupBy("cluster").agg(F.collect_list("ring").alias("rings"))
-    return groups.select("cluster", F.explode(merge("rings")).alias("geom"))
+    return groups.mapInArrow(merge, T.StructType([groups.schema["cluster"], T.StructField("geom", T.ArrayType(RING))]))

@@ -13,28 +13,29 @@ from pyspark.sql import types as T
 from ..functions import mercator as merc
 
 
-def map_windows(pixels: DataFrame, func: Callable[[np.ndarray], np.ndarray], size: int, halo: int, nodata: float = 0.0, skip_share: float | None = None, image: str = "img") -> DataFrame:
-    """(image, r, c, v) of func over windows of a raster (image, r, c, v): it gets the window with its halo and returns as many cells.
+def map_windows(pixels: DataFrame, func: Callable[[np.ndarray], np.ndarray], size: int, halo: int, nodata: float = 0.0, skip_share: float | None = None, *image: str) -> DataFrame:
+    """(image, r, c, v) of func over windows of rasters (image, r, c, v), image being one key or several (img unless named): it gets the window with its halo and returns as many cells.
 
     Each pixel goes to the windows whose halo it is in, at most four if the halo is under half the size. Absent cells hold nodata. Only
     the interior is kept, and only cells that are in the input. With skip_share, windows whose share of nodata reaches it are left out.
     """
+    keys = list(image or ("img",))
     near = lambda v: F.sequence(F.floor((v - halo) / size), F.floor((v + halo) / size))
-    sent = pixels.select(image, "r", "c", F.col("v").cast("double").alias("v"), F.explode(near(F.col("r"))).alias("wr"), near(F.col("c")).alias("cs")).withColumn("wc", F.explode("cs")).drop("cs")
+    sent = pixels.select(*keys, "r", "c", F.col("v").cast("double").alias("v"), F.explode(near(F.col("r"))).alias("wr"), near(F.col("c")).alias("cs")).withColumn("wc", F.explode("cs")).drop("cs")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         top, left = int(pdf["wr"].iloc[0]) * size, int(pdf["wc"].iloc[0]) * size
-        whole = np.full((size + 2 * halo,) * 2, nodata)
         r, c = (pdf["r"] - top).to_numpy(), (pdf["c"] - left).to_numpy()
+        whole = np.full((size + 2 * halo,) * 2, nodata)
         whole[r + halo, c + halo] = pdf["v"]
         inner = (r >= 0) & (r < size) & (c >= 0) & (c < size)
         if not inner.any() or skip_share is not None and (whole == nodata).mean() >= skip_share:
-            return pdf.iloc[:0][[image, "r", "c", "v"]]
+            return pdf.iloc[:0][[*keys, "r", "c", "v"]]
         out = func(whole)
-        return pdf[inner].assign(v=out[r[inner] + halo, c[inner] + halo])[[image, "r", "c", "v"]]
+        return pdf[inner].assign(v=out[r[inner] + halo, c[inner] + halo])[[*keys, "r", "c", "v"]]
 
-    kind = T.StructType([sent.schema[image], sent.schema["r"], sent.schema["c"], T.StructField("v", T.DoubleType())])
-    return sent.groupBy(image, "wr", "wc").applyInPandas(run, kind)
+    kind = T.StructType([*(sent.schema[k] for k in keys), sent.schema["r"], sent.schema["c"], T.StructField("v", T.DoubleType())])
+    return sent.groupBy(*keys, "wr", "wc").applyInPandas(run, kind)
 
 
 def warp(pixels: DataFrame, source: Column, source_srid: int, target: DataFrame, target_transform: Column, target_srid: int, image: str = "img") -> DataFrame:

@@ -66,38 +66,62 @@ def ponds(detections: DataFrame, z: int = 17, distance: float = 0.0005, keep_nul
     return vector.dissolve(numbered.select("id", "ring"), distance, cell=20 * distance).withColumn("srid", F.lit(4326))
 
 
+def merge_blocks(layers: DataFrame, n_blocks: int, district: str, block: str) -> DataFrame:
+    """layers (layer, block and others) with the name of the merged layer that each row goes to: all blocks in one, or MERGE blocks each; rows of no block go."""
+    start = F.floor(F.col("block") / MERGE) * MERGE if n_blocks > MERGE else F.lit(0)
+    name = F.lit(f"{district}_{block}_boundaries")
+    if n_blocks > MERGE:
+        name = F.concat_ws("_", name, start.cast("string"), F.least(start + MERGE, F.lit(n_blocks)).cast("string"))
+    return layers.filter((F.col("block") >= 0) & (F.col("block") < n_blocks)).withColumn("name", name)
+
+
 def segment_features(pixels: DataFrame, lines: DataFrame | None = None) -> DataFrame:
-    """The feature table of segments (block, label) from pixels (block, r, c, label, red, green, blue): shape, colour, entropy and class."""
+    """The feature table of segments (block, label) from pixels (block, r, c, label, red, green, blue): shape, colour, both entropies, straight lines and class.
+
+    Lines (block, label, x1, y1, x2, y2) are found in the pixels unless given.
+    """
     keys = ["block", "label"]
     own = pixels.filter("label > 0")
     colour = raster.band_means(own, ["red", "green", "blue"], *keys)
     gray = own.select(*keys, "r", "c", F.rint(raster.luma(F.col("red"), F.col("green"), F.col("blue"))).cast("int").alias("g"))
     near = raster.entropy_score(raster.local_entropy(gray, 5, *keys), 5.2, *keys).withColumnRenamed("score", "ent")
+    wide = raster.entropy_score(raster.local_entropy(gray, 30, *keys), 0.0, *keys).withColumnRenamed("score", "ent_pl")
     shape = vector.shape_features(own, *keys)
     size = own.groupBy(*keys).agg(F.count("*").alias("size"))
-    out = size.join(colour, keys).join(near, keys).join(shape, keys)
-    if lines is not None:
-        straight = lines.groupBy(*keys).agg(F.count("*").alias("num_lines"))
-        right = rules.right_angles(lines.withColumn("__key", F.struct(*keys)), "__key").select("__key.*", F.col("pairs").alias("num_rt_ang"))
-        out = out.join(straight, keys, "left").join(right, keys, "left")
-    else:
-        out = out.withColumns({"num_lines": F.lit(0).cast("bigint"), "num_rt_ang": F.lit(0).cast("bigint")})
+    out = size.join(colour, keys).join(near, keys).join(wide, keys).join(shape, keys)
+    lines = vector.segment_lines(gray, "block") if lines is None else lines
+    straight = lines.groupBy(*keys).agg(F.count("*").alias("num_lines"))
+    right = rules.right_angles(lines.withColumn("__key", F.struct(*keys)), "__key").select("__key.*", F.col("pairs").alias("num_rt_ang"))
+    out = out.join(straight, keys, "left").join(right, keys, "left")
     out = out.withColumns({"num_lines": F.coalesce("num_lines", F.lit(0)), "num_rt_ang": F.coalesce("num_rt_ang", F.lit(0))})
     kind = rules.classify(F.col("rect"), F.col("size"), F.col("ent"), F.col("num_lines"), F.col("red") > F.col("green"))
     return out.withColumns({"class": kind, "redness": F.col("red"), "greeness": F.col("green"), "blueness": F.col("blue"), "red": F.try_divide(F.col("red"), F.col("green"))}).drop("green", "blue")
 
 
-def farm(probabilities: DataFrame, image: DataFrame, plantation: DataFrame | None = None, lines: DataFrame | None = None) -> DataFrame:
-    """(block, layer, value, class, geom) of field boundaries: segments of the probability maps classified by their image, and the plantation mask (block, r, c, label)."""
+def farm(probabilities: DataFrame, image: DataFrame, plantation: DataFrame | None = None, lines: DataFrame | None = None, placed_by: DataFrame | None = None) -> DataFrame:
+    """(block, layer, value, class, geom) of field boundaries: segments of the probability maps classified by their image, and the plantation mask (block, r, c, label).
+
+    With placed_by (block, transform), the geotransforms of the blocks in Mercator metres, geom is in degrees; else it is in pixel corners.
+    """
     labels = vector.segment_images(probabilities, "block")
     features = segment_features(labels.join(image, ["block", "r", "c"]), lines)
     polygons = vector.polygonise(labels, "block")
     attributes = features.withColumnRenamed("label", "value")
     every = polygons.join(attributes, ["block", "value"]).withColumn("layer", F.lit("all"))
     if plantation is None:
-        return every
+        return _in_degrees(every, placed_by)
     extra = vector.polygonise(plantation, "block").withColumns({"layer": F.lit("plantation"), "class": F.lit("plantation")})
-    return every.unionByName(extra, allowMissingColumns=True)
+    return _in_degrees(every.unionByName(extra, allowMissingColumns=True), placed_by)
+
+
+def _in_degrees(layer: DataFrame, placed_by: DataFrame | None) -> DataFrame:
+    """A layer of rings (geom) from pixel corners to degrees, by its blocks' geotransforms in Mercator metres."""
+    if placed_by is None:
+        return layer
+    t = F.col("transform")
+    metres = lambda p: F.struct((t["x0"] + p.x * t["pw"]).alias("x"), (t["y0"] + p.y * t["ph"]).alias("y"))
+    rings = F.transform("geom", lambda ring: vector.to_crs(F.transform(ring, metres), 3857, 4326))
+    return layer.join(placed_by, "block").withColumn("geom", rings).drop("transform").withColumn("srid", F.lit(4326))
 
 
 def merge_names(n_blocks: int, district: str, block: str) -> list[tuple[str, int, int]]:

@@ -101,28 +101,28 @@ def resolution(spark, d):
     return load(spark, d, "part").select("p_partkey", F.round(merc.degrees_per_pixel(F.col("p_size") % 20), 12).alias("deg"), merc.zoom_for_resolution(F.col("p_size")).alias("zoom"))
 
 
-@query("""select event_id, cast(floor((lat - 36) / ((8 - 36) / cast(512 as double))) as bigint) as row, cast(floor((lon - 68) / (29 / cast(512 as double))) as bigint) as col
-    from geo_points where event_type = 'click' and lon < 90""")
+@query("""select * from (select event_id, cast(floor((lat - 30) / ((10 - 30) / cast(512 as double))) as bigint) as row, cast(floor((lon - 70) / (20 / cast(512 as double))) as bigint) as col
+    from geo_points) where row >= 0 and row < 512 and col >= 0 and col < 512""")
 def coords_to_cells(spark, d):
-    t = merc.affine(*map(F.lit, (68.0, 8.0, 97.0, 36.0)), 512, 512)
+    t = merc.affine(*map(F.lit, (70.0, 10.0, 90.0, 30.0)), 512, 512)
     cell = merc.to_rowcol(F.col("lon"), F.col("lat"), t)
-    out = load(spark, d, "geo_points").filter("event_type = 'click' and lon < 90").select("event_id", cell["row"].alias("row"), cell["col"].alias("col"))
+    out = load(spark, d, "geo_points").select("event_id", cell["row"].alias("row"), cell["col"].alias("col"))
     return out.filter(merc.inside(F.col("row"), F.col("col"), 512, 512))
 
 
-@query("select img, r, c, round(68 + (c + 0.5) * 0.25, 9) as x, round(36 + (r + 0.5) * -0.5, 9) as y from emb_raster where img < 50")
+@query("select img, r, c, round(68 + (c + 0.5) * 0.25, 9) as x, round(36 + (r + 0.5) * -0.5, 9) as y from emb_raster")
 def cells_to_coords(spark, d):
     t = merc.affine(*map(F.lit, (68.0, 32.0, 70.0, 36.0)), 8, 8)
     p = merc.from_rowcol(F.col("r"), F.col("c"), t)
-    return load(spark, d, "emb_raster").filter("img < 50").select("img", "r", "c", F.round(p["x"], 9).alias("x"), F.round(p["y"], 9).alias("y"))
+    return load(spark, d, "emb_raster").select("img", "r", "c", F.round(p["x"], 9).alias("x"), F.round(p["y"], 9).alias("y"))
 
 
 @query("""select user_id, min(floor((lon - 68) * 10)) as min_col, min(floor((36 - lat) * 10)) as min_row, max(floor((lon - 68) * 10)) as max_col, max(floor((36 - lat) * 10)) as max_row
-    from geo_points where event_id % 7 = 3 group by user_id""")
+    from geo_points group by user_id""")
 def pixel_bounds(spark, d):
     col, row = F.floor((F.col("lon") - 68) * 10), F.floor((36 - F.col("lat")) * 10)
     ends = [f(x).cast("double").alias(f"{n}_{a}") for n, f in (("min", F.min), ("max", F.max)) for a, x in (("col", col), ("row", row))]
-    return load(spark, d, "geo_points").filter("event_id % 7 = 3").groupBy("user_id").agg(*ends)
+    return load(spark, d, "geo_points").groupBy("user_id").agg(*ends)
 
 
 # --- grids ------------------------------------------------------------------------------------------
@@ -178,11 +178,11 @@ def points_in_roi(spark, d):
     return vector.spatial_semi(points, region, 5.0).select("event_id")
 
 
-@query(f"""select det_id, x, y from (select det_id, x_tile + 0.25 as x0, x_tile + 2.5 as x1, y_tile + 0.75 as y0, y_tile + 1.5 as y1 from detections where det_id % 10 = 0),
-    generate_series(0, 200000) s(i), lateral (select 0) where false""".replace("generate_series(0, 200000) s(i), lateral (select 0) where false", "lateral (select unnest(range(cast(floor(x0) as bigint), cast(ceil(x1) as bigint))) as x) a, lateral (select unnest(range(cast(floor(y0) as bigint), cast(ceil(y1) as bigint))) as y) b"))
+@query("""select det_id, x, y from (select det_id, x_tile + 0.25 as x0, x_tile + 2.5 as x1, y_tile + 0.75 as y0, y_tile + 1.5 as y1 from detections),
+    lateral (select unnest(range(cast(floor(x0) as bigint), cast(ceil(x1) as bigint))) as x) a, lateral (select unnest(range(cast(floor(y0) as bigint), cast(ceil(y1) as bigint))) as y) b""")
 def tile_enum(spark, d):
     tiles = grid.tiles_of(F.col("x_tile") + 0.25, F.col("y_tile") + 0.75, F.col("x_tile") + 2.5, F.col("y_tile") + 1.5)
-    return load(spark, d, "detections").filter("det_id % 10 = 0").select("det_id", F.explode(tiles).alias("t")).select("det_id", "t.x", "t.y")
+    return load(spark, d, "detections").select("det_id", F.explode(tiles).alias("t")).select("det_id", "t.x", "t.y")
 
 
 @query("""select p_partkey, y, x, cast(greatest(4, y + 72 - (p_size * 11 + 64)) as bigint) as bottom, cast(greatest(4, x + 72 - (p_size * 13 + 64)) as bigint) as "right"
@@ -207,9 +207,9 @@ def export_slices(spark, d):
     return n.select(F.explode(grid.slices(F.col("n"), 2000)).alias("s")).select("s.start", "s.end")
 
 
-@query("select o_orderkey, cast((row_number() over (order by o_orderkey) - 1) // 2000 as bigint) as chunk from orders where o_custkey % 3 = 0")
+@query("select o_orderkey, cast((row_number() over (order by o_orderkey) - 1) // 2000 as bigint) as chunk from orders")
 def export_chunks(spark, d):
-    out = grid.dense_index(load(spark, d, "orders").filter("o_custkey % 3 = 0").select("o_orderkey"), "o_orderkey")
+    out = grid.dense_index(load(spark, d, "orders").select("o_orderkey"), "o_orderkey")
     return out.select("o_orderkey", F.floor(F.col("index") / 2000).alias("chunk"))
 
 
@@ -237,10 +237,11 @@ def valid_names(spark, d):
     return load(spark, d, "places").select("s_suppkey", txt.valid_text(F.col("block")).alias("name"), txt.asset_path("assets", F.col("state"), F.col("district"), F.col("block")).alias("path"))
 
 
-@query("select c_custkey, case when c_custkey % 3 = 0 then null else 'ABC' || c_custkey end as task, 'https://raw.githubusercontent.com/u/r/main/' || c_custkey as url from customer")
+@query("""select c_custkey, case c_custkey % 6 when 0 then null when 1 then 'ab_' || c_custkey when 2 then 'x' || c_custkey when 3 then 'second_' || c_custkey when 4 then null else 'Q' || c_custkey end as task, 'https://raw.githubusercontent.com/u/r/main/' || c_custkey as url from customer""")
 def ids_and_urls(spark, d):
     key = F.col("c_custkey").cast("string")
-    said = F.when(F.col("c_custkey") % 3 == 0, F.lit("nothing started")).when(F.col("c_custkey") % 3 == 1, F.concat(F.lit("Started with ID: ABC"), key)).otherwise(F.concat(F.lit("task id ABC"), key))
+    texts = ("nothing started, id {}", "Started upload task with ID: ab_{}-1", "ID: other Task ID: x{} done", "Task ID: second_{} ID: third", "task id ABC{}", "the ID: Q{}.")
+    said = F.element_at(F.array(*[F.replace(F.lit(t), F.lit("{}"), key) for t in texts]), (F.col("c_custkey") % 6 + 1).cast("int"))
     return load(spark, d, "customer").select("c_custkey", txt.task_id(said).alias("task"), txt.raw_url(F.concat(F.lit("https://github.com/u/r/blob/main/"), key)).alias("url"))
 
 
@@ -409,9 +410,9 @@ def mask_or(spark, d):
     return raster.mask_or(load(spark, d, "emb_raster"), "label", "r", "c")
 
 
-@query("select img, g, r // 4 as j, c // 4 as i, r, c from emb_raster where img < 100")
+@query("select img, g, r // 4 as j, c // 4 as i, r, c from emb_raster")
 def stitch(spark, d):
-    cut = raster.unstitch(load(spark, d, "emb_raster").filter("img < 100").select("img", "g", "r", "c"), 4)
+    cut = raster.unstitch(load(spark, d, "emb_raster").select("img", "g", "r", "c"), 4)
     whole = raster.stitch(cut.select("img", "g", "i", "j", F.col("chunk_r").alias("r"), F.col("chunk_c").alias("c")), 4)
     return whole.select("img", "g", "i", "j", F.col("row").alias("r"), F.col("col").alias("c"))
 
@@ -422,9 +423,10 @@ def merge_last(spark, d):
     return out.withColumn("v", F.round("v", 6))
 
 
-@query("select a.img, a.r, a.c, cast(greatest(0, least(255, round_even(cast(0.25 as double) * a.g + cast(0.75 as double) * b.g, 0))) as integer) as v from emb_raster a join emb_raster b on a.img + 1 = b.img and a.r = b.r and a.c = b.c where a.img < 100")
+@query("""select img, r, c, cast(greatest(0, least(255, round_even(cast(0.25 as double) * g + cast(0.75 as double) * h, 0))) as integer) as v
+    from (select img, r, c, g, lead(g) over w as h, lead(img) over w as after from emb_raster window w as (partition by r, c order by img)) where after = img + 1""")
 def blend(spark, d):
-    a = load(spark, d, "emb_raster").filter("img < 100").select("img", "r", "c", "g")
+    a = load(spark, d, "emb_raster").select("img", "r", "c", "g")
     b = load(spark, d, "emb_raster").select((F.col("img") - 1).alias("img"), "r", "c", F.col("g").alias("h"))
     return a.join(b, ["img", "r", "c"]).select("img", "r", "c", raster.blend(F.col("g"), F.col("h"), 0.25).alias("v"))
 
@@ -461,25 +463,74 @@ def band_means(spark, d):
     return out.select("img", F.round("g", 6).alias("red"), F.round("m", 6).alias("mask"))
 
 
-@query("""with s as (select img, r, c, g // 16 as q from emb_raster where img < 50 and m = 1), o as (values (0, 0), (0, 1), (0, -1), (1, 0), (-1, 0)),
-    n as (select s.img, s.r + col0 as r, s.c + col1 as c, q, count(*) as n from s, o group by all),
-    e as (select img, r, c, log2(sum(n)) - sum(n * log2(n)) / sum(n) as ent from n group by img, r, c)
-    select img, r, c, abs(round(ent, 6)) as ent from s join e using (img, r, c)""")
+def _entropies(radius: int, source: str = "select img, r, c, g from emb_raster where m = 1") -> str:
+    """CTE e (img, r, c, ent): each pixel meets those of its image within the radius."""
+    return f"""with s as materialized ({source}),
+    n as (select a.img, a.r, a.c, b.g, count(*) as n from s a join s b on a.img = b.img where (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) <= {radius * radius} group by all),
+    e as (select img, r, c, log2(sum(n)) - sum(n * log2(n)) / sum(n) as ent from n group by img, r, c)"""
+
+
+def _masked(spark, d):
+    return load(spark, d, "emb_raster").filter("m = 1").select("img", "r", "c", "g")
+
+
+@query(f"{_entropies(5)} select img, r, c, abs(round(ent, 6)) as ent from e")
 def local_entropy(spark, d):
-    p = load(spark, d, "emb_raster").filter("img < 50 and m = 1").select("img", "r", "c", F.floor(F.col("g") / 16).alias("g"))
-    return raster.local_entropy(p, 1, "img").select("img", "r", "c", F.abs(F.round("ent", 6)).alias("ent"))
+    return raster.local_entropy(_masked(spark, d), 5, "img").select("img", "r", "c", F.abs(F.round("ent", 6)).alias("ent"))
 
 
-@query("""with s as (select img, r, c, g // 16 as q from emb_raster where img < 50 and m = 1), o as (values (0, 0), (0, 1), (0, -1), (1, 0), (-1, 0)),
-    n as (select s.img, s.r + col0 as r, s.c + col1 as c, q, count(*) as n from s, o group by all),
-    e as (select img, r, c, log2(sum(n)) - sum(n * log2(n)) / sum(n) as ent from n group by img, r, c)
-    select img, round(coalesce(sum(ent) filter (where ent > 0.9), 0) / count(*), 6) as score from s join e using (img, r, c) group by img""")
+@query(f"{_entropies(5)} select img, round(coalesce(sum(ent) filter (where ent > 3.5), 0) / count(*), 6) as score, round(coalesce(sum(ent) filter (where ent > 5.2), 0) / count(*), 6) as strict from e group by img")
 def entropy_score(spark, d):
-    p = load(spark, d, "emb_raster").filter("img < 50 and m = 1").select("img", "r", "c", F.floor(F.col("g") / 16).alias("g"))
-    return raster.entropy_score(raster.local_entropy(p, 1, "img"), 0.9, "img").select("img", F.round("score", 6).alias("score"))
+    near = raster.local_entropy(_masked(spark, d), 5, "img")
+    score, strict = (raster.entropy_score(near, above, "img") for above in (3.5, 5.2))
+    return score.join(strict.withColumnRenamed("score", "strict"), "img").select("img", F.round("score", 6).alias("score"), F.round("strict", 6).alias("strict"))
+
+
+@query(f"{_entropies(30)} select img, round(coalesce(sum(ent) filter (where ent > 0), 0) / count(*), 6) as ent_pl from e group by img")
+def plantation_entropy(spark, d):
+    return raster.entropy_score(raster.local_entropy(_masked(spark, d), 30, "img"), 0.0, "img").select("img", F.round("score", 6).alias("ent_pl"))
+
+
+_RGB = """select a.img, a.r, a.c, a.g as red, b.g as green, c.g as blue, a.m from emb_raster a join emb_raster b on a.img = b.img and b.r * 8 + b.c = (a.r * 8 + a.c + 21) % 64
+    join emb_raster c on a.img = c.img and c.r * 8 + c.c = (a.r * 8 + a.c + 42) % 64"""
+
+
+def _rgb(spark, d):
+    p = load(spark, d, "emb_raster")
+    at = F.col("r") * 8 + F.col("c")
+    shifted = lambda k, name: p.select("img", ((at - k + 64) % 64).alias("at"), F.col("g").alias(name))
+    return p.withColumn("at", at).withColumnRenamed("g", "red").join(shifted(21, "green"), ["img", "at"]).join(shifted(42, "blue"), ["img", "at"])
+
+
+@query(_entropies(5, f"""select img, r, c, cast(coalesce(round_even((y - a) / nullif(b - a, 0) * 255, 0), 0) as integer) as g from
+    (select *, min(y) over (partition by img) as a, max(y) over (partition by img) as b from (select *, round_even(cast(0.299 as double) * red + cast(0.587 as double) * green + cast(0.114 as double) * blue, 0) as y from ({_RGB}))) where m > 0""")
+    + """ select i.img, round(coalesce(any_value(t.entropy), 0), 6) as entropy from (select distinct img from emb_raster) i
+    left join (select img, coalesce(sum(ent) filter (where ent > 5.2), 0) / count(*) as entropy from e group by img) t on i.img = t.img group by i.img""")
+def pond_entropy(spark, d):
+    return raster.pond_entropy(_rgb(spark, d), "img").select("img", F.round("entropy", 6).alias("entropy"))
 
 
-_CC = """with recursive p as (select img, r, c, r * 8 + c as id from emb_raster where m = 1 and img < 20),
+@query(f"select img, max(red) = 0 and max(green) = 0 and max(blue) = 0 or coalesce(max(alpha) = 0, false) as empty from (select img, red * (img % 3) as red, green * (img % 3) as green, blue * (img % 3) as blue, case when img % 4 > 0 then 255 * (img % 5) end as alpha from ({_RGB})) group by img")
+def tile_empty(spark, d):
+    dark = {c: F.col(c) * (F.col("img") % 3) for c in ("red", "green", "blue")}
+    return raster.is_empty(_rgb(spark, d).withColumns(dark).withColumn("alpha", F.when(F.col("img") % 4 > 0, 255 * (F.col("img") % 5))), "img")
+
+
+@query(f"""select img, y * 8 + r - 12 as row, x * 8 + c - 4 as col, red, case when opaque then null else alpha end as alpha from
+    (select *, min(alpha) over () = 255 as opaque from (select *, img % 16 as x, img // 16 as y, case when img % 2 = 1 then 0 else 255 end as alpha from ({_RGB})) where img % 2 = 0 and y * 8 + r between 12 and 123 and x * 8 + c between 4 and 83)""")
+def mosaic_crop(spark, d):
+    tiles = _rgb(spark, d).withColumns({"x": F.col("img") % 16, "y": F.floor(F.col("img") / 16), "alpha": F.when(F.col("img") % 2 == 1, 0).otherwise(255)})
+    whole = raster.tile_pixels(tiles, F.struct(F.lit(0).alias("minx"), F.lit(0).alias("miny")), 8, "img")
+    return raster.crop(whole, 0.5, 1.5, 10.5, 15.5, (0, 0), 8).select("img", "row", "col", "red", "alpha")
+
+
+@query(f"""with p as materialized ({_RGB}), b as (select img, m, min(r) as r0, max(r) as r1, min(c) as c0, max(c) as c1 from p where m > 0 group by img, m)
+    select p.img, cast(b.m as integer) as segment, p.r, p.c, case when p.m = b.m then red else 0 end as red, case when p.m = b.m then 255 else 0 end as alpha from b join p on p.img = b.img and p.r between r0 and r1 and p.c between c0 and c1""")
+def mask_crops(spark, d):
+    return raster.mask_crop(_rgb(spark, d).withColumn("label", F.col("m")), "img").select("img", "segment", "r", "c", "red", "alpha")
+
+
+_CC = """with recursive p as (select img, r, c, r * 8 + c as id from emb_raster where m = 1),
     reach(img, id, root) as (select img, id, id from p union select p.img, p.id, reach.root from reach join p q on q.img = reach.img and q.id = reach.id join p on p.img = q.img and {near}),
     roots as (select img, id, min(root) as root from reach group by img, id)
     select img, id // 8 as r, id % 8 as c, cast(dense_rank() over (partition by img order by root) as integer) as label from roots"""
@@ -487,12 +538,12 @@ _CC = """with recursive p as (select img, r, c, r * 8 + c as id from emb_raster
 
 @query(_CC.format(near="abs(p.r - q.r) + abs(p.c - q.c) = 1"))
 def cc4(spark, d):
-    return vector.label_images(load(spark, d, "emb_raster").filter("img < 20"), connectivity=1).select("img", "r", "c", "label")
+    return vector.label_images(load(spark, d, "emb_raster"), connectivity=1).select("img", "r", "c", "label")
 
 
 @query(_CC.format(near="greatest(abs(p.r - q.r), abs(p.c - q.c)) = 1"))
 def cc8(spark, d):
-    return vector.label_images(load(spark, d, "emb_raster").filter("img < 20"), connectivity=2).select("img", "r", "c", "label")
+    return vector.label_images(load(spark, d, "emb_raster"), connectivity=2).select("img", "r", "c", "label")
 
 
 @query("""select img, cast(count(*) as double) as area, round(count(*) / cast((max(r) - min(r) + 1) * (max(c) - min(c) + 1) as double), 6) as extent, round(sqrt(4 * count(*) / pi()), 6) as diameter,
@@ -550,28 +601,125 @@ def shape_features(spark, d):
     return vector.shape_features(labels, "img", "label").select("img", "label", F.round("rect", 6).alias("rect"), F.round("frct_dim", 6).alias("frct_dim"))
 
 
-@query()
+@query("""with e as (select det_id, k, x, y, coalesce(lead(x) over w, first_value(x) over w) - x as dx, coalesce(lead(y) over w, first_value(y) over w) - y as dy from det_vertices window w as (partition by det_id order by k)),
+    u as (select e.det_id, e.k, (max(v.x * dx + v.y * dy) - min(v.x * dx + v.y * dy)) * (max(v.y * dx - v.x * dy) - min(v.y * dx - v.x * dy)) / any_value(dx * dx + dy * dy) as area from e join det_vertices v on e.det_id = v.det_id group by e.det_id, e.k)
+    select det_id, round(min(area), 2) as area from u group by det_id""")
 def min_rect(spark, d):
-    return _rings(spark, d).select("det_id", F.round(geo.area(vector.min_rectangle(F.col("ring"))), 3).alias("area"))
+    return _rings(spark, d).select("det_id", F.round(geo.area(vector.min_rectangle(F.col("ring"))), 2).alias("area"))
+
+
+def _placed():
+    """The ring as a small one in degrees."""
+    return F.transform("ring", lambda p: F.struct((80 + p.x / 100_000).alias("x"), (20 + p.y / 100_000).alias("y")))
+
+
+def _vertices(rings: DataFrame, digits: int) -> DataFrame:
+    return rings.select("det_id", F.posexplode("ring").alias("k", "p")).select("det_id", "k", F.round("p.x", digits).alias("x"), F.round("p.y", digits).alias("y"))
 
 
 @query()
 def simplify(spark, d):
-    return _rings(spark, d).select("det_id", F.size(vector.simplify(F.col("ring"), 5.0)).alias("vertices"))
+    return _vertices(_rings(spark, d).select("det_id", vector.simplify(F.col("ring"), 5.0).alias("ring")), 3)
 
 
 @query()
 def orthogonalise(spark, d):
-    small = F.transform("ring", lambda p: F.struct((80 + p.x / 1e5).alias("x"), (20 + p.y / 1e5).alias("y")))
-    return _rings(spark, d).select("det_id", F.size(vector.orthogonalise(small)).alias("vertices"))
+    return _vertices(_rings(spark, d).select("det_id", vector.orthogonalise(_placed()).alias("ring")), 9)
 
 
 @query()
 def dissolve(spark, d):
-    spark.sparkContext.getCheckpointDir() or spark.sparkContext.setCheckpointDir(_local_dir(spark))
-    rings = _rings(spark, d).filter("det_id % 10 = 0").select(F.col("det_id").alias("id"), F.transform("ring", lambda p: F.struct((p.x / 1e5 + F.col("det_id") % 1000 * 0.004).alias("x"), (p.y / 1e5 + F.floor(F.col("det_id") / 1000) * 0.004).alias("y"))).alias("ring"))
-    out = vector.dissolve(rings, 0.0005, 0.01)
-    return out.select("cluster", F.round(geo.area(F.col("geom")[0]), 9).alias("area"))
+    spark.sparkContext.getCheckpointDir() or spark.sparkContext.setCheckpointDir(_shared_dir(spark))
+    at = lambda p: F.struct((p.x / 1e5 + F.col("det_id") % 1000 * 0.0024).alias("x"), (p.y / 1e5 + F.floor(F.col("det_id") / 1000) * 0.0024).alias("y"))
+    out = vector.dissolve(_rings(spark, d).select(F.col("det_id").alias("id"), F.transform("ring", at).alias("ring")), 0.0005, 0.01)
+    return out.select("cluster", F.size("geom").alias("rings"), F.round(geo.area(F.col("geom")[0]), 9).alias("area"), F.round(geo.perimeter(F.col("geom")[0]), 9).alias("perimeter"))
+
+
+@query()
+def region_groups(spark, d):
+    groups = vector.region_groups(load(spark, d, "emb_raster"), min_size=3, max_size=30, threshold=2)
+    table = vector.region_table(groups.join(load(spark, d, "emb_raster").select("img", "r", "c", "v"), ["img", "r", "c"]), intensity="v")
+    names = ("area", "area_bbox", "area_convex", "area_filled", "perimeter", "solidity", "extent", "axis_major_length", "axis_minor_length", "eccentricity", "elongation", "orientation", "equivalent_diameter_area")
+    extra = ("intensity_min", "intensity_max", "intensity_mean", "intensity_std", "intensity_median")
+    return table.select("img", "label", *[F.round(c, 6).alias(c) for c in (*names, *extra)])
+
+
+@query("select img, m, count(*) as area from emb_raster where m > 0 group by img, m having count(*) >= 10 and count(*) <= 24")
+def region_sizes(spark, d):
+    areas = load(spark, d, "emb_raster").filter("m > 0").groupBy("img", "m").agg(F.count("*").alias("area"))
+    return rules.sized(areas, 10, 24)
+
+
+@query("select cast(max(x_tile - 96446) as bigint) as max_i, cast(max(y_tile - 56783) as bigint) as max_j, max(det_id) as max_label from detections")
+def chunk_extent(spark, d):
+    own = load(spark, d, "detections").select((F.col("x_tile") - 96446).cast("bigint").alias("i"), (F.col("y_tile") - 56783).cast("bigint").alias("j"), F.col("det_id").alias("label"))
+    return rules.extent(own)
+
+
+@query(f"""with t as (select user_id, cast({_TX} as bigint) as x, cast({_TY} as bigint) as y from
+    (select user_id, unnest([a, b]) as lon, unnest([p, q]) as lat from (select user_id, min(lon) as a, max(lon) as b, min(lat) as p, max(lat) as q from geo_points group by user_id)))
+    select user_id, min(x) as xmin, max(x) as xmax, min(y) as ymin, max(y) as ymax from t group by user_id""")
+def tile_ranges(spark, d):
+    box = load(spark, d, "geo_points").groupBy("user_id").agg(F.min("lon").alias("minx"), F.max("lon").alias("maxx"), F.min("lat").alias("miny"), F.max("lat").alias("maxy"))
+    span = grid.tile_range(*map(F.col, ("minx", "miny", "maxx", "maxy")), Z)
+    return box.select("user_id", span.alias("s")).select("user_id", "s.*")
+
+
+@query("""select det_id, x, y from (select det_id, x_tile, y_tile, det_id % 3 as w, det_id % 2 as h from detections),
+    lateral (select unnest(range(x_tile, x_tile + w + 1)) as x) a, lateral (select unnest(range(y_tile, y_tile + h + 1)) as y) b""")
+def tiles_inclusive(spark, d):
+    span = F.struct(F.col("x_tile").alias("xmin"), (F.col("x_tile") + F.col("det_id") % 3).alias("xmax"), F.col("y_tile").alias("ymin"), (F.col("y_tile") + F.col("det_id") % 2).alias("ymax"))
+    return load(spark, d, "detections").select("det_id", F.explode(grid.tiles_within(span)).alias("t")).select("det_id", "t.x", "t.y")
+
+
+@query("select event_id, lat, lon, lat - 0.5 as south, lon + 0.25 as east from geo_points")
+def corner_pairs(spark, d):
+    at = lambda a, b: F.struct(a.alias("lat"), b.alias("lon"))
+    stored = txt.corner_text(at(F.col("lat"), F.col("lon")), at(F.col("lat") - 0.5, F.col("lon") + 0.25))
+    back = load(spark, d, "geo_points").select("event_id", txt.corner_pair(stored).alias("p"))
+    return back.select("event_id", "p.tl.lat", "p.tl.lon", F.col("p.br.lat").alias("south"), F.col("p.br.lon").alias("east"))
+
+
+@query("""select det_id, case when det_id % 4 < 2 then x_tile end as pond_x, case when det_id % 4 < 2 then y_tile end as pond_y, case when det_id % 4 in (0, 3) then y_tile end as well_y from detections""")
+def tile_name_variants(spark, d):
+    t = load(spark, d, "detections")
+    name = txt.tile_name(F.col("z"), F.col("x_tile"), F.col("y_tile"))
+    stem = F.replace(name, F.lit(".tif"), F.lit(""))
+    odd = F.when(F.col("det_id") % 4 == 0, name).when(F.col("det_id") % 4 == 1, F.concat(F.lit("/data/a_b/"), stem, F.lit(" (1).x_y.png"))).when(F.col("det_id") % 4 == 2, F.concat(F.lit("tile_"), F.col("x_tile").cast("string"))).otherwise(F.concat(F.lit("a/"), stem))
+    own = t.select("det_id", odd.alias("name"), F.when(F.col("det_id") % 4 == 3, F.lit(None)).otherwise(odd).alias("pond"))
+    pond, well = txt.tile_numbers(F.col("pond")), txt.tile_numbers(F.col("name"), exact=True)
+    return own.select("det_id", pond["x_tile"].alias("pond_x"), pond["y_tile"].alias("pond_y"), well["y_tile"].alias("well_y"))
+
+
+@query(f"""select det_id, cast(k as integer) as k, round(radians(lon) * 6378137.0, 3) as x, round(ln(tan(radians(45 + lat / 2))) * 6378137.0, 3) as y from (select det_id, k, 80 + x / 100000 as lon, 20 + y / 100000 as lat from det_vertices)""")
+def ring_to_mercator(spark, d):
+    return _vertices(_rings(spark, d).select("det_id", vector.to_crs(_placed(), 4326, 3857).alias("ring")), 3)
+
+
+@query("""with v as (select det_id, k, 80 + x / 100000 as lon, 20 + y / 100000 as lat from det_vertices),
+    e as (select det_id, lon, lat, coalesce(lead(lon) over w, first_value(lon) over w) as lon2, coalesce(lead(lat) over w, first_value(lat) over w) as lat2 from v window w as (partition by det_id order by k))
+    select det_id, round(abs(sum(radians(lon2 - lon) * (2 + sin(radians(lat)) + sin(radians(lat2))))) * 6371.0088 * 6371.0088 / 2, 6) as km2 from e group by det_id""")
+def sphere_areas(spark, d):
+    return _rings(spark, d).select("det_id", F.round(vector.sphere_area(_placed()), 6).alias("km2"))
+
+
+@query(f"""select det_id, cast(floor((cy - 256) / (-256 / cast(64 as double))) as bigint) as row, cast(floor(cx / (256 / cast(64 as double))) as bigint) as col from (
+    select det_id, sum((x + x2) * (x * y2 - x2 * y)) / (3 * sum(x * y2 - x2 * y)) + 0.013 as cx, sum((y + y2) * (x * y2 - x2 * y)) / (3 * sum(x * y2 - x2 * y)) + 0.013 as cy from ({_SHOE}) group by det_id)""")
+def centroid_cells(spark, d):
+    moved = F.transform("ring", lambda p: F.struct((p.x + 0.013).alias("x"), (p.y + 0.013).alias("y")))
+    cell = vector.centroid_cells(moved, merc.affine(*map(F.lit, (0.0, 0.0, 256.0, 256.0)), 64, 64))
+    return _rings(spark, d).select("det_id", cell["row"].alias("row"), cell["col"].alias("col"))
+
+
+@query("""with n as (select count(*) as n from customer), l as (select 'all' as layer, c_custkey as idx from customer union all select 'plantation', c_custkey from customer where c_custkey % 2 = 0)
+    select 'D_B_boundaries' || case when n > 200 then '_' || (idx // 200 * 200) || '_' || least(idx // 200 * 200 + 200, n) else '' end as name, layer, count(*) as rows from l, n where idx < n group by all""")
+def merge_slices(spark, d):
+    from . import jobs
+
+    own = load(spark, d, "customer").select(F.lit("all").alias("layer"), F.col("c_custkey").alias("block"))
+    n = own.count()
+    extra = own.filter("block % 2 = 0").withColumn("layer", F.lit("plantation"))
+    return jobs.merge_blocks(own.unionByName(extra), n, "D", "B").groupBy("name", "layer").agg(F.count("*").alias("rows"))
 
 
 @query()
@@ -584,10 +732,17 @@ SQL["window_lead"] = with_fixtures("""select det_id, cast(k as integer) as k, co
     x as own, coalesce(lead(x) over w, first_value(x) over w) as after from det_vertices window w as (partition by det_id order by k)""")
 
 
-def _local_dir(spark: SparkSession) -> str:
-    """A checkpoint folder for a session on a local master; a cluster must name a shared one."""
+def _shared_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder; on a local master that names none, one of its own, removed at exit."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base
+    import atexit
+    import shutil
     import tempfile
 
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a shared folder")
-    return tempfile.mkdtemp(prefix="tileframe-")
+    base = tempfile.mkdtemp(prefix="tileframe-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
