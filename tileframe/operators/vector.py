@@ -60,13 +60,13 @@ def fill_holes(labels: DataFrame, threshold: int, image: str = "img") -> DataFra
     return kind.groupBy(image).applyInPandas(run, kind.schema)
 
 
-def polygonise(labels: DataFrame, image: str = "img") -> DataFrame:
-    """(image, value, geom) of the 4-connected regions of equal label; geom is the exterior ring and its holes, in pixel corners."""
+def polygonise(labels: DataFrame, image: str = "img", tolerance: float | None = None) -> DataFrame:
+    """(image, value, geom) of the 4-connected regions of equal label; geom is the exterior ring and its holes, in pixel corners, simplified if a tolerance is given."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         dense, _, _ = _dense(pdf, "label")
         at = np.array([pdf["c"].min(), pdf["r"].min()])
-        rows = [(pdf[image].iloc[0], v, [[{"x": float(x), "y": float(y)} for x, y in ring + at] for ring in rings]) for v, rings in kernels.polygons(dense)]
+        rows = [(pdf[image].iloc[0], v, [[{"x": float(x), "y": float(y)} for x, y in (ring if tolerance is None else kernels.simplify(ring, tolerance)) + at] for ring in rings]) for v, rings in kernels.polygons(dense)]
         return pd.DataFrame(rows, columns=[image, "value", "geom"])
 
     kind = labels.select(image, "r", "c", "label")
@@ -202,6 +202,12 @@ def to_crs(ring: Column, source: int, target: int) -> Column:
     return F.transform(ring, lambda p: merc.transform_coords(p.x, p.y, source, target))
 
 
+def meets(a: Column, b: Column) -> Column:
+    """Whether two rings have a point in common: a vertex of one in the other, or edges that cross."""
+    inside = F.exists(a, lambda p: geo.contains(b, p.x, p.y)) | F.exists(b, lambda p: geo.contains(a, p.x, p.y))
+    return inside | F.exists(geo.edges(a), lambda e: F.exists(geo.edges(b), lambda f: geo.crosses(e, f)))
+
+
 def sphere_area(ring: Column) -> Column:
     """Area in square kilometres of a ring (lon, lat) on the sphere, edges being straight in longitude and the sine of latitude."""
     part = lambda e: F.radians(e.b.x - e.a.x) * (2 + F.sin(F.radians(e.a.y)) + F.sin(F.radians(e.b.y)))

@@ -6,16 +6,25 @@ is tried three times.
 
 from __future__ import annotations
 
+import struct
+import zlib
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as txt
-from ..operators import grid
+from ..operators import grid, raster
+from . import png
 
 ATTEMPTS = 3
+PIXEL = ("r", "c", "red", "green", "blue", "alpha")
+#: Half the width of the Mercator map in metres.
+WORLD = 20037508.342789244
 
 
 def url(template: str, z: Column, x: Column, y: Column) -> Column:
@@ -31,8 +40,11 @@ def basemaps(spark: SparkSession, services: dict[str, tuple[str, bool]], free_on
     return spark.createDataFrame(rows, "name string, url string")
 
 
-def fetch(tiles: DataFrame, template: str, fetcher: Callable[[str], bytes | None], skip_errors: bool = False) -> DataFrame:
-    """tiles (z, x, y and others) with data: null where the tile is missing, and with skip_errors where it fails for good."""
+def fetch(tiles: DataFrame, template: str, fetcher: Callable[[str], bytes | None], skip_errors: bool = False, threads: int = 5) -> DataFrame:
+    """tiles (z, x, y and others) with data: null where the tile is missing, and with skip_errors where it fails for good.
+
+    A task asks for so many tiles at once and holds no more than that.
+    """
 
     def get(address: str) -> bytes | None:
         for left in range(ATTEMPTS - 1, -1, -1):
@@ -43,12 +55,48 @@ def fetch(tiles: DataFrame, template: str, fetcher: Callable[[str], bytes | None
                     raise
         return None
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf.assign(data=[get(a) for a in pdf["url"]])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with ThreadPoolExecutor(threads) as pool:
+            for batch in batches:
+                for at in range(0, batch.num_rows, threads):
+                    part = batch.slice(at, threads)
+                    data = pa.array(pool.map(get, part.column("url").to_pylist()), pa.binary())
+                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], data], [*part.schema.names[:-1], "data"])
 
     asked = tiles.withColumn("url", url(template, F.col("z"), F.col("x"), F.col("y")))
-    return asked.mapInPandas(run, f"{asked._jdf.schema().toDDL()}, data binary").drop("url")
+    return asked.mapInArrow(run, T.StructType([*tiles.schema.fields, T.StructField("data", T.BinaryType())]))
+
+
+def decoded(tiles: DataFrame) -> DataFrame:
+    """Pixels (r, c, red, green, blue, alpha) of PNG tiles (data and others, which stay); tiles that are missing or unreadable have none."""
+    others = [f for f in tiles.schema.fields if f.name != "data"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, data in enumerate(batch.column("data").to_pylist()):
+                try:
+                    image = png.decode(data) if data else None
+                except (ValueError, KeyError, struct.error, zlib.error):
+                    image = None
+                if image is None:
+                    continue
+                r, c = np.divmod(np.arange(image.shape[0] * image.shape[1]), image.shape[1])
+                flat = image.reshape(len(r), -1).astype("i4")
+                bands = [pa.array(flat[:, k]) for k in range(3)] + [pa.array(flat[:, 3]) if flat.shape[1] > 3 else pa.nulls(len(r), pa.int32())]
+                same = [pa.repeat(batch.column(f.name)[i], len(r)) for f in others]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(r), pa.array(c), *bands], [*[f.name for f in others], *PIXEL])
+
+    fields = [T.StructField(x, T.LongType() if x in "rc" else T.IntegerType()) for x in PIXEL]
+    return tiles.select(*[f.name for f in others], "data").mapInArrow(run, T.StructType([*others, *fields]))
+
+
+def mosaic(tiles: DataFrame, x0: float, y0: float, x1: float, y1: float, z: int, size: int = 256) -> tuple[DataFrame, tuple[float, float, float, float]]:
+    """(pixels (row, col, red, green, blue, alpha), geotransform in Mercator metres) of fetched tiles (x, y, data), cropped to a box in fractional tiles."""
+    corner = int(x0 // 1), int(y0 // 1)
+    whole = raster.tile_pixels(decoded(tiles), F.struct(F.lit(corner[0]).alias("minx"), F.lit(corner[1]).alias("miny")), size)
+    step = 2 * WORLD / (2**z * size)
+    left, top = corner[0] * size + round(size * (x0 - corner[0])), corner[1] * size + round(size * (y0 - corner[1]))
+    return raster.crop(whole, x0, y0, x1, y1, corner, size), (left * step - WORLD, step, WORLD - top * step, -step)
 
 
 def of_blocks(blocks: DataFrame, z: int) -> DataFrame:
