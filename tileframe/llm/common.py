@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 #: A lookup key with more than 1/HOT_SHARE of the rows is hot, so there are fewer than HOT_SHARE hot keys.
 HOT_SHARE = 1000
 
+#: Scratch tables of this process, in the order they were made.
+_made: list[str] = []
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -38,7 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/tileframe/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tileframe/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -49,10 +54,17 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Deletes every scratch table of this library; results that still read one must have been written before."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tileframe")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def made() -> int:
+    """How many scratch tables there are, for drop_scratch()."""
+    return len(_made)
+
+
+def drop_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Deletes this process's scratch tables but the first since and the last keep; results that still read one must have been written before."""
+    for path in _made[since : len(_made) - keep]:
+        own = spark._jvm.org.apache.hadoop.fs.Path(path)
+        own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
+    del _made[since : len(_made) - keep]
 
 
 def same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:

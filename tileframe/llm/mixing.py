@@ -17,8 +17,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size): the words of every text; null or empty: 0."""
-    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    """(doc_id, source, size, text_hash): the words of every text; null or empty: 0."""
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    return docs.select("doc_id", "source", size.alias("size"), F.xxhash64("text").alias("text_hash"))
 
 
 def water_fill(totals: DataFrame, cap: float) -> DataFrame:
@@ -53,11 +54,11 @@ def _sample(group: pa.Table) -> pa.Table:
         if factor[i] > whole[i] and size[i] and owed >= size[i] / 2:
             extra[i], owed = 1, owed - size[i]
     copies = pa.array((whole.astype("int64") + extra).astype("int32"))
-    return group.select(["doc_id", "source", "size", "source_size", "target"]).append_column("copies", copies)
+    return group.select(["doc_id", "source", "size", "text_hash", "source_size", "target"]).append_column("copies", copies)
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.0, seed: int = 42) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies) for every row of docs (doc_id, text, source).
+    """(doc_id, source, size, text_hash, source_size, target, copies) for every row of docs (doc_id, text, source).
 
     Sources by code point, null last, take the weights in turn. copies is how often the mix takes the
     document: never above cap, rounded up. A source without words has target 0, and documents
@@ -70,7 +71,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.
     weighted = totals.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn + 1))
     targets = water_fill(written(weighted, "weights"), cap)
     factor = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    mark = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"))
+    mark = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text_hash"))
     known = targets.select(F.col("source").alias("__source"), "source_size", "target", factor.alias("factor"), "n")
     rows = (
         sized.join(known, sized["source"].eqNullSafe(known["__source"]))
@@ -78,20 +79,19 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.
         .withColumn("bucket", F.pmod(F.shiftright("mark", 3), F.ceil(F.col("n") / BUCKET_ROWS).cast("long")))
         .drop("n", "__source")
     )
-    schema = "doc_id long, source string, size long, source_size long, target double, copies int"
+    schema = "doc_id long, source string, size long, text_hash long, source_size long, target double, copies int"
     return rows.groupBy("source", "bucket").applyInArrow(_sample, schema)
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The rows of docs as often as mix() takes them, with the columns of docs.
 
-    Rows that agree in doc_id, source and size are taken equally often.
+    Rows that agree in doc_id, source and text are taken equally often.
     """
     plan = mix(docs, **how).filter("copies > 0")
-    plan = plan.groupBy(F.xxhash64("doc_id", "source", "size").alias("__key")).agg(F.max("copies").alias("__copies"))
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "source", size))
-    taken = keyed.join(plan, "__key").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    plan = plan.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("text_hash").alias("__hash")).agg(F.max("copies").alias("__copies"))
+    same = docs["doc_id"].eqNullSafe(plan["__id"]) & docs["source"].eqNullSafe(plan["__source"]) & (F.xxhash64(docs["text"]) == plan["__hash"])
+    taken = docs.join(plan, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     return taken.select(*docs.columns)
 
 

@@ -195,9 +195,11 @@ def similar(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, groups: Callable[[DataFrame], DataFrame] = near_duplicates) -> DataFrame:
-    """The document with the smallest doc_id of each group; rows with a null doc_id stay."""
+    """The document with the smallest doc_id of each group; rows with a null doc_id stay. Of rows that share a doc_id, that of the smallest hash of all columns stays."""
     copies = groups(docs).filter("doc_id <> component_id").select("doc_id").distinct()
-    first = docs.filter("doc_id is not null").join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    hashed = docs.filter("doc_id is not null").withColumn("__hash", F.xxhash64(*docs.columns))
+    least = hashed.groupBy("doc_id").agg(F.min("__hash").alias("__least"))
+    first = hashed.join(copies, "doc_id", "left_anti").join(least, "doc_id").filter("__hash = __least").dropDuplicates(["doc_id"])
     return first.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
