@@ -162,3 +162,34 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir))
+
+
+def _sql(templates=TEMPLATES, phrases=PHRASES) -> str:
+    """The scan in SQL: every block is held against every template."""
+    word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    low = f"translate({{0}}, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    rows = ", ".join(f"({i}, {quoted(label)}, {quoted(text)})" for i, (label, text) in enumerate(templates))
+    steps = " ".join(f"when len(words) <= {LEAST_STEP << k} then {LEAST_STEP << k}" for k in range(14))
+    found = [f"list_filter(range(0, len(words) - {len(p.split()) - 1}), lambda i: words[i + 1:i + {len(p.split())}] = {p.split()!r})" for p, _ in phrases]
+    base = ", ".join(f"case when len(at{i}) > 0 then {quoted(label)} end" for i, (_, label) in enumerate(phrases))
+    at = " || ".join(f"at{i}" for i in range(len(phrases)))
+    return f"""
+with docs as (select doc_id, row_number() over () as rid, regexp_extract_all({low.format("coalesce(text, '')")}, {word}) as words from documents),
+  cut as (select id, label, regexp_extract_all({low.format('text')}, {word}) as words from (values {rows}) t(id, label, text)),
+  templates as (select id, label, case {steps} end as step, list_distinct(words) as own, ceil({THRESHOLD} * len(list_distinct(words)) - 1e-9) as need from cut),
+  steps as (select distinct step from templates),
+  blocks as (select rid, step, list_distinct(words[i + 1:i + 2 * step]) as part from docs, steps, lateral (select unnest(range(0, len(words), step)) as i) b),
+  hits as (select rid, label, len(list_intersect(own, part)) / len(own) as score from blocks join templates using (step) where len(part) >= need and len(list_intersect(own, part)) >= need),
+  best as (select rid, list(distinct label) as more, max(score) as best from hits group by rid),
+  placed as (select *, {", ".join(f"{x} as at{i}" for i, x in enumerate(found))} from docs),
+  based as (select *, {at} as places, list_filter([{base}], lambda x: x is not null) as base from placed)
+select doc_id, len(words) as n_words, len(places) as n_base, list_min(places) as first_word, list_max(places) as last_word,
+  array_to_string(list_sort(list_distinct(base)), ',') as base_labels,
+  array_to_string(list_sort(list_distinct(base || coalesce(more, []))), ',') as labels,
+  case when len(base) > 0 then 1.0 else coalesce(best, 0.0) end :: double as score
+from based left join best using (rid)
+"""
+
+
+OP8_SQL = _sql()

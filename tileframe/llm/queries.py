@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .bpe import op5_bpe
 from .language import op9_language
-from .licenses import op8_licenses
+from .licenses import OP8_SQL, op8_licenses
 from .line_dedup import OP2_SQL, op2_line_dedup
 from .mixing import op6_mixing
 from .quality import op3_quality
@@ -26,4 +26,4 @@ QUERIES = {
     "op10_topk": op10_topk,
 }
 
-ORACLE_SQL = {"op2_line_dedup": OP2_SQL, "op10_topk": OP10_SQL}
+ORACLE_SQL = {"op2_line_dedup": OP2_SQL, "op8_licenses": OP8_SQL, "op10_topk": OP10_SQL}
