@@ -36,11 +36,12 @@ def shard_of(key: Column, weights: Sequence[float]) -> Column:
 
 
 def slots(df: DataFrame, shard: str, key: str, order: Sequence[str]) -> DataFrame:
-    """Adds slot (long): gapless from 0 in every shard, by hash bucket, then key, then order.
+    """Adds slot (long): gapless from 0 in every shard, by hash bucket of key and order, then by these.
 
-    Bucket offsets come from one count of (shard, bucket), at most SLOT_BUCKETS rows a shard.
+    Bucket offsets come from one count of (shard, bucket), at most SLOT_BUCKETS rows a shard. Rows of one key are in one bucket
+    only as far as they agree in order, too.
     """
-    bucketed = df.withColumn("__bucket", F.pmod(F.xxhash64(F.lit("slot"), F.col(key)), F.lit(SLOT_BUCKETS)).cast("int"))
+    bucketed = df.withColumn("__bucket", F.pmod(F.xxhash64(F.lit("slot"), F.col(key), *order), F.lit(SLOT_BUCKETS)).cast("int"))
     counts = bucketed.groupBy(shard, "__bucket").agg(F.count("*").alias("__n"))
     before = Window.partitionBy(shard).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(shard, "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
