@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, written
+from .common import documents, skew_lookup, written
 
 #: Documents are sampled in hash buckets of about this many rows, so that a hot source takes many tasks.
 BUCKET_ROWS = 4096
@@ -65,20 +65,18 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3.
     without words are taken as often as the whole part says. Ties and repeated rows are sampled
     each for itself by a seeded hash; reruns agree for equal inputs.
     """
-    sized = written(sizes(docs), "sizes")
+    keys = {"__name": F.coalesce("source", F.lit("")), "__null": F.col("source").isNull()}
+    sized = written(sizes(docs).withColumns(keys), "sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     turn = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights)
     weighted = totals.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn + 1))
     targets = water_fill(written(weighted, "weights"), cap)
     factor = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     mark = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text_hash"))
-    known = targets.select(F.col("source").alias("__source"), "source_size", "target", factor.alias("factor"), "n")
-    rows = (
-        sized.join(known, sized["source"].eqNullSafe(known["__source"]))
-        .withColumn("mark", mark)
-        .withColumn("bucket", F.pmod(F.shiftright("mark", 3), F.ceil(F.col("n") / BUCKET_ROWS).cast("long")))
-        .drop("n", "__source")
-    )
+    known = written(targets.withColumns(keys).select(*keys, "source_size", "target", factor.alias("factor"), "n"), "targets")
+    found = skew_lookup(sized, known, list(keys), "n", sized.count()).drop(*keys)
+    bucket = F.pmod(F.shiftright("mark", 3), F.ceil(F.col("n") / BUCKET_ROWS).cast("long"))
+    rows = found.withColumn("mark", mark).withColumn("bucket", bucket).drop("n")
     schema = "doc_id long, source string, size long, text_hash long, source_size long, target double, copies int"
     return rows.groupBy("source", "bucket").applyInArrow(_sample, schema)
 
