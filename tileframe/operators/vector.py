@@ -197,6 +197,12 @@ def orthogonalise(ring: Column, max_angle_change: float = 15.0, skew_tolerance:
     return map_rings(lambda p: kernels.orthogonalise(p, max_angle_change, skew_tolerance))(ring)
 
 
+def total_bounds(layer: DataFrame, *keys: str) -> DataFrame:
+    """(keys, minx, miny, maxx, maxy) of all rings (ring) of a layer."""
+    box = geo.bounds(F.col("ring"))
+    return layer.select(*keys, box.alias("b")).groupBy(*keys).agg(*[f(f"b.{c}").alias(c) for c, f in (("minx", F.min), ("miny", F.min), ("maxx", F.max), ("maxy", F.max))])
+
+
 def to_crs(ring: Column, source: int, target: int) -> Column:
     """A ring (x, y) in another reference system."""
     return F.transform(ring, lambda p: merc.transform_coords(p.x, p.y, source, target))

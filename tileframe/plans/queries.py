@@ -11,7 +11,7 @@ from ..fixtures import ROI, load, with_fixtures
 from ..functions import geometry as geo
 from ..functions import mercator as merc
 from ..functions import text as txt
-from ..operators import grid, raster, rules, vector
+from ..operators import grid, raster, rules, vector, windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -722,6 +722,84 @@ def merge_slices(spark, d):
     return jobs.merge_blocks(own.unionByName(extra), n, "D", "B").groupBy("name", "layer").agg(F.count("*").alias("rows"))
 
 
+@query(f"select event_id, round(lon + 512 * 360 / ({_N} * 256), 9) as lon, round({_LAT.format(y=f'({_PY} + 512) / ({_N} * 256)')}, 9) as lat from geo_points")
+def unsnapped_corner(spark, d):
+    c = merc.opposite_corner_unsnapped(*lat_lon(), Z, 2)
+    return load(spark, d, "geo_points").select("event_id", F.round(c["lon"], 9).alias("lon"), F.round(c["lat"], 9).alias("lat"))
+
+
+@query(f"select event_id, round((lon + 180) / 360 * {_N}, 6) as x, round((1 - ln(tan(radians(lat)) + 1 / cos(radians(lat))) / pi()) / 2 * {_N}, 6) as y from geo_points")
+def tile_fractions(spark, d):
+    t = merc.tile_fraction(*lat_lon(), Z)
+    return load(spark, d, "geo_points").select("event_id", F.round(t["x"], 6).alias("x"), F.round(t["y"], 6).alias("y"))
+
+
+@query("""select event_id, c0, r0, c1, r1 from (select event_id, cast(floor((lon - 70) / (20 / cast(512 as double))) as bigint) as c0, cast(floor((lat - 30) / ((10 - 30) / cast(512 as double))) as bigint) as r0,
+    cast(floor((lon + 1.5 - 70) / (20 / cast(512 as double))) as bigint) as c1, cast(floor((lat + 0.75 - 30) / ((10 - 30) / cast(512 as double))) as bigint) as r1 from geo_points)
+    where c0 >= 0 and c0 < 512 and r0 >= 0 and r0 < 512 and c1 >= 0 and c1 < 512 and r1 >= 0 and r1 < 512""")
+def boxes_to_cells(spark, d):
+    t = merc.affine(*map(F.lit, (70.0, 10.0, 90.0, 30.0)), 512, 512)
+    boxes = load(spark, d, "geo_points").select("event_id", F.col("lon").alias("minx"), F.col("lat").alias("miny"), (F.col("lon") + 1.5).alias("maxx"), (F.col("lat") + 0.75).alias("maxy"))
+    box = F.col("pixel_box")
+    return windows.boxes_to_pixels(boxes, t, 512, 512).select("event_id", *[box[i].alias(c) for i, c in enumerate(("c0", "r0", "c1", "r1"))])
+
+
+@query("""select det_id, count(*) as vertices from det_vertices where (det_id + k) % 4 > 0 group by det_id having count(*) >= 3""")
+def finite_rings(spark, d):
+    broken = F.transform("ring", lambda p, k: F.struct(F.when((F.col("det_id") + k) % 8 == 0, F.lit(float("nan"))).when((F.col("det_id") + k) % 8 == 4, F.lit(float("inf"))).otherwise(p.x).alias("x"), p.y.alias("y")))
+    rings = _rings(spark, d).select("det_id", geo.finite(broken).alias("ring")).filter(F.size("ring") >= 3)
+    return rings.select("det_id", F.size("ring").cast("bigint").alias("vertices"))
+
+
+@query("select o_orderkey as k, 'f' || lpad(cast(o_orderkey // 7 as varchar), 6, '0') || '.jpg' as name from orders where o_orderkey % 7 = 0")
+def frame_numbers(spark, d):
+    return windows.frames(load(spark, d, "orders").select(F.col("o_orderkey").alias("k")), 29, 4, "f")
+
+
+@query("select event_type, min(lon) as minx, min(lat) as miny, max(lon) as maxx, max(lat) as maxy from geo_points group by event_type")
+def total_bounds(spark, d):
+    rings = load(spark, d, "geo_points").select("event_type", geo.box_ring(F.col("lon"), F.col("lat"), F.col("lon"), F.col("lat")).alias("ring"))
+    return vector.total_bounds(rings, "event_type")
+
+
+@query(f"select img, r, c, cast(round_even(cast(0.299 as double) * red + cast(0.587 as double) * green + cast(0.114 as double) * blue, 0) as integer) as gray from ({_RGB})")
+def grayscale(spark, d):
+    return _rgb(spark, d).select("img", "r", "c", F.rint(raster.luma(F.col("red"), F.col("green"), F.col("blue"))).cast("int").alias("gray"))
+
+
+@query(f"select img, r, c, red, green, blue from ({_RGB})")
+def band_channels(spark, d):
+    bands = _rgb(spark, d).select("img", "r", "c", F.posexplode(F.array("red", "green", "blue", F.col("m").cast("bigint"))).alias("band", "v"))
+    return raster.channels(bands, "img")
+
+
+@query("select img, round(min(v), 6) as least, round(max(v), 6) as most, round(median(v), 6) as middle, round(stddev_pop(v), 6) as spread from emb_raster where m = 1 group by img")
+def region_intensity(spark, d):
+    out = vector.region_properties(load(spark, d, "emb_raster").filter("m = 1"), "img", intensity="v")
+    names = {"least": "min", "most": "max", "middle": "median", "spread": "std"}
+    return out.select("img", *[F.round(f"intensity_{v}", 6).alias(k) for k, v in names.items()])
+
+
+@query("""select a.img, a.r, a.c, b.v as v from emb_raster a join emb_raster b on a.img = b.img and b.r = floor((a.r + 0.5) * 0.75 + 0.25) and b.c = floor((a.c + 0.5) * 0.75 + 0.5)""")
+def warp_nearest(spark, d):
+    p = load(spark, d, "emb_raster")
+    source = merc.affine(*map(F.lit, (0.0, 0.0, 8.0, 8.0)), 8, 8)
+    target = F.struct(F.lit(0.5).alias("x0"), F.lit(0.75).alias("pw"), F.lit(0.0).alias("rx"), F.lit(7.75).alias("y0"), F.lit(0.0).alias("ry"), F.lit(-0.75).alias("ph"))
+    return windows.warp(p.select("img", "r", "c", "v"), source, 4326, p.select("img", "r", "c"), target, 4326)
+
+
+@query("""select a.img, a.r, a.c, round(sum(b.v), 9) as v from emb_raster a join emb_raster b on a.img = b.img and abs(a.r - b.r) <= 1 and abs(a.c - b.c) <= 1 group by a.img, a.r, a.c""")
+def halo_windows(spark, d):
+    def blur(w):
+        import numpy as np
+
+        p = np.pad(w, 1)
+        return sum(p[1 + i : p.shape[0] - 1 + i, 1 + j : p.shape[1] - 1 + j] for i in (-1, 0, 1) for j in (-1, 0, 1))
+
+    out = windows.map_windows(load(spark, d, "emb_raster").select("img", "r", "c", "v"), blur, 5, 1)
+    return out.select("img", "r", "c", F.round("v", 9).alias("v"))
+
+
 @query()
 def window_lead(spark, d):
     out = _rings(spark, d).select("det_id", F.posexplode(rules.ring_neighbours(F.transform("ring", lambda p: p.x))).alias("k", "n"))
