@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -170,17 +171,24 @@ def shape_features(labels: DataFrame, image: str, label: str) -> DataFrame:
     return kind.groupBy(image).applyInPandas(run, T.StructType([kind.schema[image], kind.schema[label], *shape]))
 
 
+def _flat(rings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(vertices of all rings as rows of x and y, where each ring ends); a null ring has none."""
+    values = rings.flatten()
+    xy = np.column_stack([values.field(c).to_numpy(zero_copy_only=False).astype("f8") for c in ("x", "y")])
+    return xy, np.cumsum(pc.fill_null(pc.list_value_length(rings), 0).to_numpy(zero_copy_only=False))
+
+
 def map_rings(kernel: Callable[[np.ndarray], np.ndarray]) -> Callable[[Column], Column]:
-    """A ring kernel as a vectorised column function; rings of under 3 vertices stay as they are."""
+    """A ring kernel as a column function over Arrow lists; rings of under 3 vertices, and null ones as empty rings, stay as they are."""
 
-    @F.pandas_udf(RING)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(RING)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for rings in batches:
-            out = []
-            for ring in rings:
-                points = np.array([(p["x"], p["y"]) for p in ring], "f8") if ring is not None else np.zeros((0, 2))
-                out.append([{"x": float(x), "y": float(y)} for x, y in (kernel(points) if len(points) >= 3 else points)])
-            yield pd.Series(out)
+            xy, ends = _flat(rings)
+            out = [kernel(xy[a:b]) if b - a >= 3 else xy[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+            flat = np.concatenate([np.zeros((0, 2)), *out])
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype("i4")
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], names=["x", "y"]))
 
     return run
 
@@ -241,10 +249,11 @@ def spatial_semi(features: DataFrame, region: DataFrame, cell: float) -> DataFra
     return met.drop("__cx", "__cy")
 
 
-@F.pandas_udf(T.DoubleType())
-def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    points = lambda ring: np.array([(p["x"], p["y"]) for p in ring], "f8")
-    return pd.Series([kernels.ring_distance(points(x), points(y)) for x, y in zip(a, b, strict=True)])
+@F.arrow_udf(T.DoubleType())
+def _distance(a: pa.Array, b: pa.Array) -> pa.Array:
+    (x, x_ends), (y, y_ends) = _flat(a), _flat(b)
+    pairs = zip(np.split(x, x_ends[:-1]), np.split(y, y_ends[:-1]), strict=True)
+    return pa.array([kernels.ring_distance(p, q) for p, q in pairs], pa.float64())
 
 
 def near_pairs(polygons: DataFrame, distance: float, cell: float) -> DataFrame:
