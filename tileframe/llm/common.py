@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import functools
 import operator
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +22,26 @@ HOT_SHARE = 1000
 _made: list[str] = []
 
 
+def _give_back() -> None:
+    """Returns what this Python process no longer uses to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """f for mapInArrow, whose process gives its memory back after each task; Spark keeps idle processes beside those of other steps."""
+
+    @functools.wraps(f)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from f(batches)
+        _give_back()
+
+    return run
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

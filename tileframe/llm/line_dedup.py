@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, scratch, written
+from .common import documents, lean, scratch, written
 
 #: Documents of a batch; over one table there are at most MOST_BATCHES, larger ones, as each waits for the one before.
 BATCH_ROWS, MOST_BATCHES = 50_000, 12
@@ -73,7 +73,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def line_keys(docs: DataFrame) -> DataFrame:
     rows = _keyed(docs.select("doc_id", "text")).select("ord", "text_id", F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(_keys, LINES)
+    return rows.mapInArrow(lean(_keys), LINES)
 
 
 RUN = "hi long, lo long, holder long"
@@ -211,7 +211,7 @@ def dedup_lines(docs: DataFrame, batches: int | None = None) -> DataFrame:
     rows = _keyed(docs.select("doc_id", "text", F.struct(*docs.drop("text").columns).alias("doc")))
     joined = rows.join(gone, ["ord", "text_id"], "left").select("doc", F.col("text").cast("binary").alias("text"), "gone")
     kind = docs.drop("text").schema.simpleString()
-    out = joined.mapInArrow(_rebuild, f"doc {kind}, kept binary, n_lines long, n_dropped long")
+    out = joined.mapInArrow(lean(_rebuild), f"doc {kind}, kept binary, n_lines long, n_dropped long")
     return out.withColumn("kept", F.col("kept").cast("string"))
 
 

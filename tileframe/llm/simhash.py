@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, documents, skew_lookup, written
+from .common import components, documents, lean, skew_lookup, written
 
 SEED = 42
 SHINGLE = 3
@@ -90,7 +90,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     for each of their fingerprints. Rows with a null doc_id are left out of the links and have a null
     component.
     """
-    return _grouped(written(_binary(docs).mapInArrow(_fingerprints, "doc_id long, mark long"), "marks"), links)
+    return _grouped(written(_binary(docs).mapInArrow(lean(_fingerprints), "doc_id long, mark long"), "marks"), links)
 
 
 def _binary(docs: DataFrame) -> DataFrame:
@@ -174,7 +174,7 @@ def similar(docs: DataFrame) -> DataFrame:
     Equal sets are taken together first. Of the others, those that share a band of minima are compared in full.
     """
     rows = _binary(docs)
-    sketches = written(rows.mapInArrow(_sketches, "doc_id long, mark long, bands array<long>"), "sketches")
+    sketches = written(rows.mapInArrow(lean(_sketches), "doc_id long, mark long, bands array<long>"), "sketches")
 
     def near(marks: DataFrame) -> DataFrame:
         keys = sketches.filter("doc_id is not null").dropDuplicates(["mark"]).select("mark", F.explode("bands").alias("key"))
@@ -188,7 +188,7 @@ def similar(docs: DataFrame) -> DataFrame:
         cells = cells.select("bucket", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "mark").distinct()
         wanted = written(members.select("mark").distinct().join(marks.select("mark", "rep"), "mark"), "wanted")
         texts = rows.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        sets = written(texts.mapInArrow(_sets, "mark long, grams binary").dropDuplicates(["mark"]).join(wanted, "mark"), "sets")
+        sets = written(texts.mapInArrow(lean(_sets), "mark long, grams binary").dropDuplicates(["mark"]).join(wanted, "mark"), "sets")
         return cells.join(sets, "mark").select("bucket", "low", "high", "rep", "grams").groupBy("bucket", "low", "high").applyInArrow(_verify, "a long, b long").distinct()
 
     return _grouped(sketches.select("doc_id", "mark"), near)
