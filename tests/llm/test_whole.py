@@ -1,14 +1,15 @@
 """Cases in which an operator once did less than the whole job."""
 
+import math
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
 import pytest
-from test_operators import lower
+from test_operators import brute_model, lower
 
-from tileframe.llm import quality, simhash, topk
+from tileframe.llm import common, quality, simhash, topk
 
 
 def shingle_set(text):
@@ -123,3 +124,56 @@ def test_models_pool_what_cannot_stand_alone(monkeypatch):
     assert quality._models([("a", 9, 1), ("b", 8, 1), ("c", 7, 1), ("d", 2, 1)]) == (["a", "b", None], {"a": 0, "b": 1, "c": 2, "d": 2})
     assert quality._models([("a", 9, 1), ("b", 8, 1), ("x", 1, 0)]) == (["a", None], {"a": 0, "b": 1, "x": 1})
     assert quality._models([("x", 1, 0)]) == ([None], {"x": 0}) and quality._models([]) == ([], {})
+
+
+@pytest.mark.parametrize("number, split", [(1, False), (7, False), (5, True)])
+def test_quality_model_keeps_every_rare_word(spark, number, split):
+    rng = random.Random(2)
+    codes = [*range(500, 506), *(quality.rare(f"rare{i}") for i in range(30))]
+    assert min(codes[6:]) >= quality.RARE and len(set(codes)) == 36
+    ids = [rng.choices(codes, [2 ** (i / 4) for i in range(36)], k=60) for _ in range(20)]
+    counts = {lang: Counter() for lang in (0, 1)}
+    grams = lambda x: zip([0, 0, *x], [0, *x], x, strict=False)
+    for i, x in enumerate(ids):
+        counts[i % 2].update(grams(x))
+    spell = lambda x: bytearray(b"".join(map(quality.spelled, x)))
+    rows = lambda own: common.written(spark.createDataFrame(own, quality.TOKENS).repartition(3), "t")
+    train = rows([(i, i, i % 2, spell(x)) for i, x in enumerate(ids)])
+    asked = [*ids[:3], [500, 999, quality.rare("new"), quality.rare("new"), codes[7], codes[30], 503], [], [codes[9]] * 90, rng.choices(codes, k=120)]
+    shards = quality.Shards(number, {lang << quality.BITS | v: 0.4 for lang in (0, 1) for v in (0, *codes[:6])} if split else {})
+    out = {r["doc_id"]: r for r in quality.score(rows([(i, -i, i % 2, spell(x)) for i, x in enumerate(asked)]), train, shards, 2, 1000).collect()}
+    for i, x in enumerate(asked):
+        p = brute_model(counts[i % 2], 1000)
+        assert out[i]["n"] == len(x) and math.isclose(out[i]["loss"], -sum(math.log(p(g)) for g in grams(x)), rel_tol=1e-4, abs_tol=1e-9)
+
+
+def test_quality_tells_words_beyond_the_frequent_apart(spark, monkeypatch):
+    """2,000 words of one shape, each as frequent as the others: a text of them is likelier than one of as many words that no trusted text has."""
+    rng, words = random.Random(3), [f"{a}{b}{c}xy" for a in "abcdefghijklm" for b in "abcdefghijklm" for c in "abcdefghijkl"]
+    new = [w[:3] + "zw" for w in words]
+    rows = [(i, " ".join(rng.choices(words, k=100)), "en") for i in range(400)] + [(400 + i, " ".join(rng.choices(new, k=100)), "en") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    out = {r["doc_id"]: r for r in quality.classify(docs, labels).collect()}
+    assert not any(out[400 + i]["keep"] for i in range(20)) and sum(out[i]["keep"] for i in range(400)) >= 398
+    monkeypatch.setattr(quality, "MOST_WORDS", 10)
+    monkeypatch.setattr(quality, "LEAST_WORDS", 10)
+    again = {r["doc_id"]: r["perplexity"] for r in quality.classify(docs, labels).collect()}
+    assert all(math.isclose(out[d]["perplexity"], x, rel_tol=1e-5) for d, x in again.items())
+
+
+def test_quality_trigrams_of_long_texts_come_in_pieces(monkeypatch):
+    rng, langs = random.Random(4), np.array([0, 1, 1])
+    codes = [5, 6, 7, quality.rare("a"), quality.rare("b")]
+    texts = [rng.choices(codes, k=n) for n in (100, 0, 31)]
+    flat, lens = quality._words(langs, [b"".join(map(quality.spelled, x)) for x in texts])
+    assert lens.tolist() == [100, 0, 31]
+    want = [(int(n), *(langs[n] << quality.BITS | c for c in g)) for n, x in enumerate(texts) for g in zip([0, *x], [0, 0, *x], x, strict=False)]
+    for words in (1 << 19, 37, 2):
+        monkeypatch.setattr(quality, "BLOCK_WORDS", words)
+        got = []
+        for keys, grams, row in quality._trigrams(flat, lens):
+            part = quality._grams_expanded(quality._part(keys, np.sort(grams)))
+            assert sorted(zip(*(part[0][x].tolist() for x in part[1:]), strict=True)) == sorted(zip(*(keys[grams >> quality.LOCAL * i & quality.LOCAL_MASK].tolist() for i in (2, 1, 0)), strict=True))
+            got += zip(row.tolist(), *(keys[grams >> quality.LOCAL * i & quality.LOCAL_MASK].tolist() for i in (2, 1, 0)), strict=True)
+        assert got == want

@@ -1,35 +1,34 @@
 """Operator 3: a quality classifier by an interpolated modified Kneser-Ney word model of trusted text.
 
-Words are a language's frequent ones; any other is one of BUCKETS hash buckets of its shape (case, digits, punctuation, length).
-Trigrams are counted over all trusted text and all are kept. They lie in shards by their middle word, together with
-their contexts and with the bigrams of that word; a frequent middle word has several shards, by last words. Documents' trigrams
-are dealt to the same shards, joined there and return as sums. Only what the vocabulary bounds is broadcast: unigrams,
-and what single words as contexts leave to them. A document is rejected above a perplexity quantile of its own language, taken
-over trusted documents that were not counted.
+Every word stands for itself: a language's frequent ones have short codes, any other its 48-bit hash. Trigrams are counted over all trusted
+text and all are kept. They lie in shards by their middle word, which tell bigrams and contexts; a frequent middle word has several
+shards, by last words. Documents' trigrams are dealt to the same shards, joined there and return as sums. How many words precede a word is
+summed over all shards and goes back to those that have the word; documents ask for their rare words in the shard of the word, as a
+rare word's own share is a factor of its probability where the bigram is unknown. Only frequent words, frequent middle words as contexts and discounts are
+broadcast. A document is rejected above a perplexity quantile of its own language, taken over trusted documents that were not counted.
 """
 
 from __future__ import annotations
 
-import array
 import pickle
-import string
-import zlib
+import struct
 from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, lean, written
 
-#: Bounds of what is fitted: trusted documents that give a language's vocabulary, words of a language, and as many as ALL_DOCS and
-#: ALL_WORDS of all together (but LEAST_DOCS and LEAST_WORDS of each). Rarer words fall into buckets.
-VOCABULARY_DOCS, ALL_DOCS, LEAST_DOCS = 20_000, 1 << 20, 50
-MOST_WORDS, ALL_WORDS, LEAST_WORDS = 1024, 1 << 18, 256
+#: Trusted documents that tell a language's frequent words, and how many words have short codes, by language and of all together (but LEAST_DOCS
+#: and LEAST_WORDS of each). Results do not depend on these.
+VOCABULARY_DOCS, ALL_DOCS, LEAST_DOCS = 5_000, 1 << 20, 50
+MOST_WORDS, ALL_WORDS, LEAST_WORDS = (1 << 16) - 2, 1 << 17, 256
 #: As many languages have models of their own as keys have room for; the last may be a pool of the others.
 MOST_LANGUAGES = (1 << 15) - 1
 #: One trusted document in HELD_OUT is not counted and sets the threshold; languages of under FEW are parted by rank, not by hash.
@@ -39,68 +38,79 @@ QUANTILE = 0.998
 OWN_QUANTILE = 500
 #: The cross-entropy of a document is drawn to its language's mean as if so many more words had it, as short texts vary.
 PRIOR_WORDS = 12
-CACHE = 100_000
+CACHE = 25_000
 #: Words whose n-grams a task holds at once.
 BLOCK_WORDS = 1 << 19
 #: A shard has about so many of the documents' words or fewer; a sample of so many documents tells which words are frequent.
 SHARD_WORDS, BALANCE_DOCS = 1 << 26, 5_000
 #: Trusted ids are broadcast up to so many (8 bytes each), and joined by a shuffle beyond.
 BROADCAST_IDS = 1 << 18
-BITS = 16
+#: A word's key is its language and, in BITS, its code: START, a frequent word's rank, or, from RARE on, a hash.
+BITS, RARE = 48, 1 << 16
 MASK = (1 << BITS) - 1
-
 START = 0
-_LENGTHS = (0, 3, 7, 12)
-SHAPES, BUCKETS = 5 * 4 * 2 * 2 * 5, 8
-FIRST_WORD = SHAPES * BUCKETS + 1
+#: Among two-byte codes, what says that a hash follows, in HASH_PARTS parts of PART_BITS, none of which looks like it.
+ESCAPE, HASH_PARTS, PART_BITS = 0xFFFF, 4, 12
+#: The code of all words that no trusted text has, where documents are dealt.
+NEW = 0xFFFF
+#: A sieve that tells these takes so many bits a rare word, and at most as many as SIEVE; what it lets through costs room but changes nothing.
+SIEVE_BITS, SIEVE = 10, 1 << 29
+#: Bits of a word's number among those of a block.
+LOCAL = 20
+LOCAL_MASK = (1 << LOCAL) - 1
+
 
+def rare(word: str) -> int:
+    """The code of a word without a short one."""
+    return max(RARE, xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) & MASK)
 
-def shape(word: str) -> int:
-    """1 to SHAPES: case, what ends it, whether it has a digit, a sign within it, and its length."""
-    core = word.strip(string.punctuation)
-    tail = word[len(word.rstrip(string.punctuation)) :]
-    case = 0 if not any(map(str.isalpha, core)) else 1 if core.islower() else 3 if core.isupper() and len(core) > 1 else 2 if core[:1].isupper() and not any(map(str.isupper, core[1:])) else 4
-    end = 0 if not tail else 3 if len(tail) > 1 else 1 if tail in ".,;:?!" else 2
-    digit, inner = any(map(str.isdigit, core)), any(not c.isalnum() and c not in "'-" for c in core)
-    return 1 + (((case * 4 + end) * 2 + digit) * 2 + inner) * 5 + sum(len(core) > n for n in _LENGTHS)
 
+_frequent_code, _rare_code = struct.Struct("<H").pack, struct.Struct("<5H").pack
 
-def bucket(word: str) -> int:
-    """1 to SHAPES x BUCKETS: the id of a word that the vocabulary lacks."""
-    return 1 + (shape(word) - 1) * BUCKETS + zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
+
+def spelled(code: int) -> bytes:
+    """A code as it stands in TOKENS."""
+    if code < ESCAPE:
+        return _frequent_code(code)
+    return _rare_code(ESCAPE, code & 0xFFF, code >> 12 & 0xFFF, code >> 24 & 0xFFF, code >> 36)
 
 
 class _Ids(dict):
-    """Word ids of a language: of the vocabulary, and buckets as they come, of which at most CACHE are kept."""
+    """A language's words as they stand in TOKENS: frequent ones, and others as they come, of which at most CACHE are kept."""
 
     def __init__(self, vocabulary: dict[str, int]):
-        super().__init__(vocabulary)
-        self.vocabulary = vocabulary
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > len(self.vocabulary) + CACHE:
-            self.clear()
-            self.update(self.vocabulary)
-        self[word] = i = bucket(word)
+        super().__init__((w, spelled(i)) for w, i in vocabulary.items())
+        self.others: list[str] = []
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self.others) >= CACHE:
+            for other in self.others:
+                del self[other]
+            self.others.clear()
+        self.others.append(word)
+        self[word] = i = spelled(rare(word))
         return i
 
 
+#: ids are codes of two bytes each, and hashes behind ESCAPE.
 TOKENS = "doc_id long, mark long, lang int, ids binary"
 Reader = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
 def _tokens(held):
-    """Documents (doc_id, mark, lang, text) as arrays of word ids, two bytes each."""
+    """Documents (doc_id, mark, lang, text) as TOKENS."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, vocabularies = pickle.loads(held.value)
-        ids = [_Ids(v) for v in vocabularies]
+        ids = []
+        while vocabularies:
+            ids.append(_Ids(vocabularies.pop(0)))
         for batch in batches:
             langs = [number.get(x, -1) for x in batch.column("lang").to_pylist()]
             out = []
             for text, lang in zip(batch.column("text"), langs, strict=True):
                 parts = (text.as_py() or "").split() if lang >= 0 else ()
-                out.append(array.array("H", map(ids[lang].__getitem__, parts)).tobytes() if lang >= 0 else b"")
+                out.append(b"".join(map(ids[lang].__getitem__, parts)) if lang >= 0 else b"")
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array(langs, pa.int32()), pa.array(out, pa.binary())], ["doc_id", "mark", "lang", "ids"])
 
     return run
@@ -114,18 +124,42 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, (pa.int32(), pa.string(), pa.int64()), strict=True)], ["model", "word", "c"])
 
 
-def _trigrams(langs: np.ndarray, ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Packed (language, u, v, w) of every word with the two before it, and each document's number of words."""
-    lens = np.fromiter((len(x) // 2 for x in ids), "i8", len(ids))
-    flat = np.frombuffer(b"".join(ids), "u2").astype("i8")
+def _words(langs: np.ndarray, ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all words of documents, one after another, and each document's number of words."""
+    units = np.fromiter((len(x) // 2 for x in ids), "i8", len(ids))
+    flat = np.frombuffer(b"".join(ids), "<u2")
+    hashed = np.flatnonzero(flat == ESCAPE)
+    own = np.ones(len(flat), bool)
+    code = flat.astype("i8")
+    code[hashed] = 0
+    for i in range(HASH_PARTS):
+        own[hashed + 1 + i] = False
+        code[hashed] |= code[hashed + 1 + i] << PART_BITS * i
+    lens = np.diff(np.concatenate([[0], np.cumsum(own)])[np.concatenate([[0], np.cumsum(units)])])
+    return np.repeat(langs.astype("i8"), lens) << BITS | code[own], lens
+
+
+def _trigrams(flat: np.ndarray, lens: np.ndarray, sieve: "Sieve | None" = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of what _words() says, piece by piece of at most BLOCK_WORDS words: sorted word keys, packed (v, u, w) of every word w and the two
+    before it as numbers of these keys, and the place of its document. Words that a sieve lacks are NEW."""
+    row = np.repeat(np.arange(len(lens), dtype="u4"), lens)
     place = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
-    v = np.where(place >= 1, np.concatenate([[START], flat[:-1]])[: len(flat)], START)
-    u = np.where(place >= 2, np.concatenate([[START, START], flat[:-2]])[: len(flat)], START)
-    return (((np.repeat(langs.astype("i8"), lens) << BITS | u) << BITS | v) << BITS) | flat, lens
+    for at in range(0, len(flat), BLOCK_WORDS):
+        end, before = min(at + BLOCK_WORDS, len(flat)), min(at, 2)
+        starts = np.unique(flat[at:end] >> BITS) << BITS | START
+        keys, number = np.unique(np.concatenate([starts, flat[at - before : end]]), return_inverse=True)
+        if sieve is not None:
+            keys, again = np.unique(np.where((keys & MASK < RARE) | sieve.has(keys), keys, keys >> BITS << BITS | NEW), return_inverse=True)
+            number = again[number]
+        start = np.searchsorted(keys, flat[at:end] >> BITS << BITS | START)
+        number = np.concatenate([np.zeros(2 - before, "i8"), number[len(starts) :]])
+        v = np.where(place[at:end] >= 1, number[1:-1], start)
+        u = np.where(place[at:end] >= 2, number[:-2], start)
+        yield keys, (v << LOCAL | u) << LOCAL | number[2:], row[at:end]
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """A batch in slices of about BLOCK_WORDS words."""
+    """A batch in slices of about BLOCK_WORDS codes."""
     words = np.cumsum(pc.binary_length(batch.column("ids")).to_numpy(zero_copy_only=False) // 2)
     at = 0
     while at < batch.num_rows:
@@ -176,7 +210,7 @@ def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _contexts(keys: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, ...]:
     """(context, sum, n-grams of count 1, of 2, of more) of n-grams' contexts."""
-    return _summed(keys >> BITS, c, *((x).astype("i8") for x in (c == 1, c == 2, c > 2)))
+    return _summed(keys, c, *((x).astype("i8") for x in (c == 1, c == 2, c > 2)))
 
 
 class Shards:
@@ -201,42 +235,87 @@ class Shards:
     def first(self, middle: np.ndarray) -> np.ndarray:
         return self._mixed(middle) % self.number
 
-    def of(self, grams: np.ndarray) -> np.ndarray:
-        middle = _middle(grams)
-        return (self.first(middle) + self._mixed(grams & MASK) % self.parts_of(middle)) % self.number
-
-    def cut(self, grams: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-        """(order, (shard, start, end) of every shard met): trigrams sorted by shard, then value."""
+    def cut(self, keys: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """(order, (shard, start, end) of every shard met): trigrams of numbered keys sorted by shard, then value."""
         order = np.argsort(grams, kind="stable")
-        shard = self.of(grams[order]).astype("u2" if self.number <= 1 << 16 else "i8")
-        again = np.argsort(shard, kind="stable")
-        shard = shard[again].astype("i8")
-        first = np.flatnonzero(np.diff(shard, prepend=-1))
-        return order[again], list(zip(shard[first].tolist(), first.tolist(), np.append(first, len(shard))[1:].tolist(), strict=True))
+        v, w = grams[order] >> 2 * LOCAL, grams[order] & LOCAL_MASK
+        shard, parts = self.first(keys)[v], self.parts_of(keys)[v]
+        split = np.flatnonzero(parts > 1)
+        shard[split] = (shard[split] + self._mixed(keys[w[split]]) % parts[split]) % self.number
+        # behind a new word only the last word counts, so any shard will do
+        new = np.flatnonzero((keys & MASK == NEW)[v])
+        shard[new] = np.arange(len(new)) * self.number // max(1, len(new))
+        again, cuts = _cut(shard, self.number)
+        return order[again], cuts
+
+
+class Sieve:
+    """Tells for sure of some rare words that no trusted text has them: bits by the word's lot."""
+
+    def __init__(self, shards: Shards, lots: dict[int, bytes]):
+        self.shards, parts = shards, [lots.get(i, b"\0") for i in range(shards.number)]
+        self.sizes = np.array([8 * len(x) for x in parts])
+        self.first, self.bits = np.cumsum(self.sizes) - self.sizes, np.frombuffer(b"".join(parts), "u1")
+
+    @staticmethod
+    def places(words: np.ndarray, sizes: np.ndarray | int) -> list[np.ndarray]:
+        return [Shards._mixed(words ^ salt) % sizes for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
+
+    @classmethod
+    def lot(cls, words: np.ndarray, most: int) -> bytes:
+        bits = np.zeros(max(1, min(len(words) * SIEVE_BITS, most) // 8) * 8, bool)
+        for at in cls.places(words, len(bits)):
+            bits[at] = True
+        return np.packbits(bits).tobytes()
+
+    def has(self, words: np.ndarray) -> np.ndarray:
+        lot = self.shards.first(words)
+        at = [self.first[lot] + x for x in self.places(words, self.sizes[lot])]
+        return np.logical_and.reduce([(self.bits[x >> 3] >> (7 - (x & 7))) & 1 == 1 for x in at])
+
+
+def _cut(shard: np.ndarray, number: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """(order, (shard, start, end) of every shard met)."""
+    order = np.argsort(shard.astype("u2" if number <= 1 << 16 else "i8"), kind="stable")
+    shard = shard[order]
+    first = np.flatnonzero(np.diff(shard, prepend=-1))
+    return order, list(zip(shard[first].tolist(), first.tolist(), np.append(first, len(shard))[1:].tolist(), strict=True))
 
 
-def _middle(grams: np.ndarray) -> np.ndarray:
-    """(language, v) of trigrams (language, u, v, w)."""
-    return (grams >> (3 * BITS) << BITS) | (grams >> BITS & MASK)
+def _grams_packed(keys: np.ndarray, v: np.ndarray, u: np.ndarray, w: np.ndarray, *more: np.ndarray) -> bytes:
+    """Sorted word keys, trigrams of their numbers, sorted by v, then u, and what belongs to each."""
+    head, step = _squeeze(np.diff(keys, prepend=0)), np.diff(v, prepend=-1)
+    u = np.where(step == 0, np.diff(u, prepend=0), u)
+    return len(head).to_bytes(8, "little") + head + _squeeze(step.astype("u4"), u.astype("u4"), w.astype("u4"), *more)
 
 
-def _last(contexts: np.ndarray) -> np.ndarray:
-    """(language, v) of contexts (language, u, v)."""
-    return (contexts >> (2 * BITS) << BITS) | (contexts & MASK)
+def _grams_expanded(packed: bytes, *kinds: str) -> list[np.ndarray]:
+    """Keys, v, u, w and what belongs to each."""
+    n = int.from_bytes(packed[:8], "little")
+    v, u, w, *more = _expand(packed[8 + n :], "u4", "u4", "u4", *kinds)
+    sums = u.cumsum(dtype="i8")
+    start = np.maximum.accumulate(np.where(v > 0, np.arange(len(v)), 0))
+    return [_expand(packed[8 : 8 + n], "i8")[0].cumsum(), v.cumsum(dtype="i8") - 1, sums - (sums - u)[start], w.astype("i8"), *more]
 
 
-def _bigrams(grams: np.ndarray) -> np.ndarray:
-    """(language, v, w) of trigrams (language, u, v, w)."""
-    return (grams >> (3 * BITS) << (2 * BITS)) | (grams & ((1 << (2 * BITS)) - 1))
+def _part(keys: np.ndarray, grams: np.ndarray, *more: np.ndarray) -> bytes:
+    """Some of a block's trigrams, in order, with the keys they need."""
+    v, u, w = grams >> 2 * LOCAL, grams >> LOCAL & LOCAL_MASK, grams & LOCAL_MASK
+    met = np.zeros(len(keys), bool)
+    met[v] = met[u] = met[w] = True
+    number = np.cumsum(met) - 1
+    return _grams_packed(keys[met], number[v], number[u], number[w], *more)
 
 
 # --- counting -----------------------------------------------------------------------------------------
 
-#: Parts of the model, packed. By shard: TRIGRAMS and their counts, CONTEXTS of trigrams with what _contexts() says, BIGRAMS and how
-#: many words precede each. By shard and key: what a shard has of the contexts SHARED by the shards of a frequent word (the key), of single
-#: words as CONTEXT_WORDS, of how many words precede WORDS (each in LOTS keys), and of how many TALLIES n-grams of a language have counts 1 to 4.
-TRIGRAMS, CONTEXTS, BIGRAMS, DOCUMENTS, SHARED, CONTEXT_WORDS, WORDS, TALLIES = range(8)
-MODEL, LOTS = "shard int, kind int, part binary, key long", 32
+#: Parts of the model, packed. By shard: TRIGRAMS with their counts. By shard and key: what a shard has of the contexts SHARED by the shards of a
+#: frequent word (the key), of such words as CONTEXT_WORDS, of how many words precede WORDS (the key is the shard of the word), and of
+#: how many TALLIES n-grams of a language have counts 1 to 4. Sums over shards: CONTEXTS of frequent words and TOTALS of WORDS for the shards that
+#: have them, UNIGRAMS for the shard of the word, FREQUENT words, and the SIEVED bits of rare ones. Of documents: DOCUMENTS' trigrams, and ASKED, their rare words.
+TRIGRAMS, CONTEXTS, TOTALS, UNIGRAMS, DOCUMENTS, ASKED, SHARED, CONTEXT_WORDS, WORDS, TALLIES, FREQUENT, SIEVED = range(12)
+MODEL = "shard int, kind int, part binary, key long"
+LOW = (1 << 32) - 1
 
 
 def _model_rows(shard: int, kind: int, rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
@@ -264,7 +343,7 @@ def _by_key(of: np.ndarray, keys: np.ndarray, *values: np.ndarray) -> list[tuple
 
 
 #: Columns of what is kept by key.
-COLUMNS = {SHARED: 5, CONTEXT_WORDS: 5, WORDS: 2, TALLIES: 5}
+COLUMNS = {SHARED: 5, CONTEXT_WORDS: 5, TALLIES: 5}
 
 
 def _counted(shards: Shards):
@@ -272,35 +351,49 @@ def _counted(shards: Shards):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in _blocks(whole)):
-            found, _ = _trigrams(batch.column("lang").to_numpy(), batch.column("ids").to_pylist())
-            grams, c = np.unique(found, return_counts=True)
-            order, cuts = shards.cut(grams)
-            grams, c = grams[order], c[order].astype("i8")
-            columns = [pa.array([i for i, _, _ in cuts], pa.int32()), pa.array([_squeeze(np.diff(grams[a:b], prepend=0), c[a:b]) for _, a, b in cuts], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["shard", "part"])
+            for keys, found, _ in _trigrams(*_words(batch.column("lang").to_numpy(), batch.column("ids").to_pylist())):
+                grams, c = np.unique(found, return_counts=True)
+                order, cuts = shards.cut(keys, grams)
+                grams, c = grams[order], c[order].astype("i8")
+                columns = [pa.array([i for i, _, _ in cuts], pa.int32()), pa.array([_part(keys, grams[a:b], c[a:b]) for _, a, b in cuts], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "part"])
 
     return run
 
 
+def _merged(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Keys, v, u, w and counts of several such."""
+    keys = np.unique(np.concatenate([x[0] for x in held]))
+    at = [np.searchsorted(keys, x[0]) for x in held]
+    vu = np.concatenate([n[v] << 32 | n[u] for n, (_, v, u, _, _) in zip(at, held, strict=True)])
+    w, c = np.concatenate([n[x[3]] for n, x in zip(at, held, strict=True)]), np.concatenate([x[4] for x in held])
+    order = np.lexsort((w, vu))
+    vu, w = vu[order], w[order]
+    first = np.flatnonzero((np.diff(vu, prepend=-1) != 0) | (np.diff(w, prepend=-1) != 0))
+    return [keys, vu[first] >> 32, vu[first] & LOW, w[first], np.add.reduceat(c[order], first)]
+
+
+def _tallied(n: int, lang: np.ndarray, counts: np.ndarray) -> bytes:
+    return _packed(*_summed(lang * 4 + n, *((counts == k).astype("i8") for k in (1, 2, 3, 4))))
+
+
 def _built(shards: Shards):
     """The model's parts, shard by shard, from the counts dealt to it."""
 
-    def done(shard: int, held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        grams, c = _summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
-        yield _model_rows(shard, TRIGRAMS, [(0, _packed(grams, c))])
-        contexts = _contexts(grams, c)
-        v = _last(contexts[0])
-        shared = shards.parts_of(v) > 1
-        yield _model_rows(shard, SHARED, _by_key(v[shared], *(x[shared] for x in contexts)))
-        yield _model_rows(shard, CONTEXTS, [(0, _packed(*(x[~shared] for x in contexts)))])
-        two, preceding = np.unique(_bigrams(grams), return_counts=True)
-        yield _model_rows(shard, BIGRAMS, [(0, _packed(two, preceding))])
-        of_two = _contexts(two, preceding.astype("i8"))
-        yield _model_rows(shard, CONTEXT_WORDS, _by_key(of_two[0] % LOTS, *of_two))
-        words, before = np.unique((two >> (2 * BITS) << BITS) | (two & MASK), return_counts=True)
-        yield _model_rows(shard, WORDS, _by_key(words % LOTS, words, before))
-        for n, keys, counts in ((3, grams, c), (2, two, preceding)):
-            yield _model_rows(shard, TALLIES, [(0, _packed(*_summed((keys >> (n * BITS)) * 4 + n, *((counts == k).astype("i8") for k in (1, 2, 3, 4)))))])
+    def done(shard: int, held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        keys, v, u, w, c = _merged(held)
+        yield _model_rows(shard, TRIGRAMS, [(0, _grams_packed(keys, v, u, w, c))])
+        yield _model_rows(shard, TALLIES, [(0, _tallied(3, keys[v] >> BITS, c))])
+        split = shards.parts_of(keys) > 1
+        vu, *contexts = _contexts((v << 32 | u)[split[v]], c[split[v]])
+        yield _model_rows(shard, SHARED, _by_key(keys[vu >> 32], keys[vu & LOW], *contexts))
+        two, preceding = np.unique(v << 32 | w, return_counts=True)
+        yield _model_rows(shard, TALLIES, [(0, _tallied(2, keys[two >> 32] >> BITS, preceding))])
+        own = split[two >> 32]
+        middle, *contexts = _contexts(two[own] >> 32, preceding[own].astype("i8"))
+        yield _model_rows(shard, CONTEXT_WORDS, [(0, _packed(keys[middle], *contexts))])
+        words, before = np.unique(two & LOW, return_counts=True)
+        yield _model_rows(shard, WORDS, _by_key(shards.first(keys[words]), keys[words], before))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, n = -1, [], 0
@@ -310,42 +403,57 @@ def _built(shards: Shards):
                     if held:
                         yield from done(now, held)
                     now, held, n = shard, [], 0
-                steps, c = _expand(part.as_py(), "i8", "i8")
-                held, n = [*held, (steps.cumsum(), c)], n + len(c)
-                if n > 4 * BLOCK_WORDS and len(held) > 1 and n > 2 * len(held[0][0]):
-                    held = [_summed(*(np.concatenate(x) for x in zip(*held, strict=True)))]
-                    n = len(held[0][0])
+                held.append(_grams_expanded(part.as_py(), "i8"))
+                n += len(held[-1][4])
+                if n > 4 * BLOCK_WORDS and len(held) > 1 and n > 2 * len(held[0][4]):
+                    held = [_merged(held)]
+                    n = len(held[0][4])
         if held:
             yield from done(now, held)
 
     return run
 
 
+def _lots(shards: Shards):
+    """MODEL rows of a lot of words, from what every shard says of how many words precede them."""
+
+    def run(group: pa.Table) -> pa.Table:
+        rows = [(i, *_unpacked([x], 2)) for i, x in zip(group.column("shard").to_pylist(), group.column("part").to_pylist(), strict=True)]
+        words, totals = _summed(*(np.concatenate(x) for x in list(zip(*rows, strict=True))[1:]))
+        lot, rare_ones, lang, none = group.column("key")[0].as_py(), (words & MASK) >= RARE, words >> BITS, np.zeros(len(words), "i8")
+        out = [(i, TOTALS, _packed(own, totals[np.searchsorted(words, own)])) for i, own, _ in rows]
+        out += [(lot, UNIGRAMS, _packed(words[rare_ones], totals[rare_ones])), (lot, SIEVED, Sieve.lot(words[rare_ones], SIEVE // shards.number))]
+        out += [(-1, FREQUENT, _packed(words[~rare_ones], totals[~rare_ones])), (-1, TALLIES, _tallied(1, lang, totals))]
+        out.append((-1, TALLIES, _packed(*_summed(lang * 4, none + 1, totals, none, none))))
+        columns = [pa.array([x[i] for x in out], kind) for i, kind in enumerate((pa.int32(), pa.int32(), pa.binary()))]
+        return pa.table([*columns, pa.array([0] * len(out), pa.int64())], ["shard", "kind", "part", "key"])
+
+    return run
+
+
 class Lower:
-    """What the vocabulary bounds: unigrams, words as contexts, and all discounts."""
+    """What is broadcast: shares of frequent words, frequent middle words as contexts, and all discounts."""
 
-    def __init__(self, table: pa.Table, languages: int, size: int):
-        """table: (kind, part) sums of CONTEXT_WORDS, WORDS and TALLIES."""
+    def __init__(self, table: pa.Table, languages: int, size: int | None):
+        """table: (kind, part) sums of CONTEXT_WORDS, FREQUENT and TALLIES; size is how many words there may be, None being one more than there are."""
         kind, parts = table.column("kind").to_pylist(), table.column("part").to_pylist()
 
-        def of(k: int) -> list[np.ndarray]:
-            return _unpacked([x for x, own in zip(parts, kind, strict=True) if own == k], COLUMNS[k])
+        def of(k: int, columns: int) -> list[np.ndarray]:
+            out = _unpacked([x for x, own in zip(parts, kind, strict=True) if own == k], columns)
+            return [x[np.argsort(out[0], kind="stable")] for x in out]
 
-        tallies, key = np.zeros((5, languages, 4), "i8"), of(TALLIES)
-        tallies[key[0] % 4, key[0] // 4] = np.stack(key[1:], axis=1)
-        words, counts = (x[np.argsort(of(WORDS)[0])] for x in of(WORDS)[:2])
-        lang = words >> BITS
-        for k in (1, 2, 3, 4):
-            tallies[1, :, k - 1] = np.bincount(lang[counts == k], minlength=languages)
+        tallies, key = np.zeros((4, languages, 4), "i8"), of(TALLIES, 5)
+        np.add.at(tallies, (key[0] % 4, key[0] // 4), np.stack(key[1:], axis=1))
         self.discounts = [None, *(_discounts(tallies[n]) for n in (1, 2, 3))]
-        self.size, self.words = size, words
-        cut = self.discounts[1][lang, np.minimum(counts, 3) - 1]
-        total = np.maximum(np.bincount(lang, counts, languages), 1)
-        self.share = ((counts - cut) / total[lang]).astype("f4")
-        self.left = np.where(np.bincount(lang, minlength=languages) > 0, np.bincount(lang, cut, languages) / total, 1.0)
-        v = of(CONTEXT_WORDS)
-        v = [x[np.argsort(v[0])] for x in v]
-        self.context, self.total, self.back = v[0], v[1], self.backs(2, v[0] >> BITS, *v[1:])
+        words, self.all = tallies[0, :, 0], np.maximum(tallies[0, :, 1], 1)
+        of_counts = np.stack([tallies[1, :, 0], tallies[1, :, 1], words - tallies[1, :, 0] - tallies[1, :, 1]], axis=1)
+        left = np.where(words > 0, (self.discounts[1] * of_counts).sum(axis=1) / self.all, 1.0)
+        #: the probability of a word that was not met
+        self.new = left / (words + 1 if size is None else size)
+        self.words, counts = of(FREQUENT, 2)
+        self.share = self.words_shares(self.words, counts)
+        self.context, self.total, *counts = of(CONTEXT_WORDS, 5)
+        self.back = self.backs(2, self.context >> BITS, self.total, *counts)
 
     def backs(self, n: int, lang: np.ndarray, total: np.ndarray, *counts: np.ndarray) -> np.ndarray:
         """What contexts of order n leave to the order below, from what _contexts() says of them."""
@@ -354,32 +462,73 @@ class Lower:
     def shares(self, n: int, lang: np.ndarray, c: np.ndarray, total: np.ndarray) -> np.ndarray:
         return ((c - self.discounts[n][lang, np.minimum(c, 3) - 1]) / np.maximum(total, 1)).astype("f4")
 
-    def words_of(self, trigrams: np.ndarray) -> np.ndarray:
-        """Probabilities of the last words alone."""
-        lang = trigrams >> (3 * BITS)
-        return _find(self.words, self.share, (lang << BITS) | (trigrams & MASK), 0.0) + self.left[lang] / self.size
+    def words_shares(self, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return self.shares(1, words >> BITS, counts, self.all[words >> BITS])
 
+    def chances(self, words: np.ndarray, known: np.ndarray, shares: np.ndarray) -> np.ndarray:
+        """Probabilities of words alone, of which known have shares."""
+        return _find(known, shares, words, 0.0) + self.new[words >> BITS]
 
-class Upper:
-    """A shard's trigrams and bigrams."""
 
-    def __init__(self, lower: Lower, parts: dict[int, list[bytes]]):
-        def of(kind: int, columns: int) -> list[np.ndarray]:
-            out = _unpacked(parts.get(kind, []), columns)
-            order = np.argsort(out[0], kind="stable")
-            return [x[order] for x in out]
+class Upper:
+    """A shard's trigrams and bigrams, and shares of rare words that are its own."""
 
+    def __init__(self, lower: Lower, shards: Shards, parts: dict[int, list[tuple[int, bytes]]]):
+        """parts are (at, packed) by kind; at is the word of CONTEXTS."""
         self.lower = lower
-        self.contexts, total, *counts = of(CONTEXTS, 5)
-        self.back = lower.backs(3, self.contexts >> (2 * BITS), total, *counts)
-        self.three, c = of(TRIGRAMS, 2)
-        self.share = lower.shares(3, self.three >> (3 * BITS), c, _find(self.contexts, total, self.three >> BITS, 1))
-        self.two, c = of(BIGRAMS, 2)
-        self.share_two = lower.shares(2, self.two >> (2 * BITS), c, _find(lower.context, lower.total, self.two >> BITS, 1))
-
-    def probabilities(self, grams: np.ndarray) -> np.ndarray:
-        p = _find(self.two, self.share_two, _bigrams(grams), 0.0) + _find(self.lower.context, self.lower.back, _middle(grams), 1.0) * self.lower.words_of(grams)
-        return _find(self.three, self.share, grams, 0.0) + _find(self.contexts, self.back, grams >> BITS, 1.0) * p
+        grams = [_grams_expanded(x, "i8") for _, x in parts.get(TRIGRAMS, [])] or [[np.zeros(0, "i8")] * 5]
+        shared = [(word, *_unpacked([x], 5)) for word, x in parts.get(CONTEXTS, [])]
+        own, v, u, w, c = grams[0] if len(grams) == 1 else _merged(grams)
+        self.keys = keys = np.unique(np.concatenate([own, [word for word, *_ in shared], *(x[1] for x in shared)]).astype("i8"))
+        number = np.searchsorted(keys, own)
+        v, u, w = number[v], number[u], number[w]
+        split, lang, vu = shards.parts_of(keys) > 1, keys >> BITS, v << 32 | u
+        contexts = list(_contexts(vu[~split[v]], c[~split[v]]))
+        for word, others, *counts in shared:
+            contexts = [np.concatenate(x) for x in zip(contexts, [np.searchsorted(keys, word) << 32 | np.searchsorted(keys, others), *counts], strict=True)]
+        order = np.argsort(contexts[0], kind="stable")
+        self.contexts, total, *counts = (x[order] for x in contexts)
+        self.back = lower.backs(3, lang[self.contexts >> 32], total, *counts)
+        at = np.searchsorted(self.contexts, vu)
+        self.three, self.share = at << 32 | w, lower.shares(3, lang[v], c, total[at])
+        self.two, preceding = np.unique(v << 32 | w, return_counts=True)
+        middle, total, *counts = _contexts(self.two >> 32, preceding.astype("i8"))
+        # of split words lower has the sums, of others all that there is is here
+        whole = np.where(split[middle], _find(lower.context, lower.total, keys[middle], 1), total)
+        self.share_two = lower.shares(2, lang[self.two >> 32], preceding, np.repeat(whole, np.diff(np.flatnonzero(np.diff(self.two >> 32, prepend=-1)), append=len(self.two))))
+        self.back_two = _find(lower.context, lower.back, keys, 1.0)
+        self.back_two[middle[~split[middle]]] = lower.backs(2, lang[middle], total, *counts)[~split[middle]]
+        totals, rare_ones = (_summed(*_unpacked([x for _, x in parts.get(k, [])], 2)) for k in (TOTALS, UNIGRAMS))
+        self.chance = lower.chances(keys, totals[0], lower.words_shares(*totals))
+        self.rare, self.rare_share = rare_ones[0], lower.words_shares(*rare_ones)
+
+    def losses(self, keys: np.ndarray, v: np.ndarray, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """-ln of the probabilities of trigrams of numbered keys; of rare words, without what rare_losses() says of them."""
+        lower, at = self.lower, np.full(len(keys), -1)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            at = np.where(self.keys[at] == keys, at, -1)
+        v, u, own = at[v], at[u], at[w]
+        absent = (v < 0) | (own < 0)
+        two = _find(self.two, self.share_two, np.where(absent, -1, v << 32 | own), 0.0)
+        if len(self.contexts):
+            vu = np.where((v < 0) | (u < 0), -1, v << 32 | u)
+            context = np.minimum(np.searchsorted(self.contexts, vu), len(self.contexts) - 1)
+            met = self.contexts[context] == vu
+            back, three = np.where(met, self.back[context], 1.0), _find(self.three, self.share, np.where(met & ~absent, context << 32 | own, -1), 0.0)
+        else:
+            back, three = 1.0, 0.0
+        frequent = ((keys & MASK) < RARE)[w]
+        alone = lower.chances(keys, lower.words, lower.share)[w]
+        if len(self.keys):
+            alone = np.where(frequent, alone, np.where(two > 0, self.chance[own], 1.0))
+            low = np.where(v >= 0, self.back_two[v], 1.0)
+        else:
+            alone, low = np.where(frequent, alone, 1.0), 1.0
+        return np.log(np.where(frequent, 1.0, alone)) - np.log(three + back * (two + low * alone))
+
+    def rare_losses(self, words: np.ndarray) -> np.ndarray:
+        return -np.log(self.lower.chances(words, self.rare, self.rare_share))
 
 
 # --- scoring ------------------------------------------------------------------------------------------
@@ -406,45 +555,64 @@ def _added(group: pa.Table) -> pa.Table:
 
 
 def _deal_shared(shards: Shards):
-    """The contexts of frequent words (key, part) to all shards of these."""
+    """The contexts of frequent words (key, part) to all shards of these; at is the word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, part in zip(batch.column("key").to_pylist(), batch.column("part").to_pylist(), strict=True):
                 word = np.array([key])
                 own = (shards.first(word) + np.arange(shards.parts_of(word)[0])) % shards.number
-                yield _dealt(CONTEXTS, 0, [(int(i), part) for i in own])
+                yield _dealt(CONTEXTS, key, [(int(i), part) for i in own])
 
     return run
 
 
-def _deal(shards: Shards):
+def _deal(shards: Shards, sieve):
     """Blocks of documents dealt to shards: which trigrams stand in which of the block's documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, number = TaskContext.get().partitionId(), 0
+        task, number, known = TaskContext.get().partitionId(), 0, pickle.loads(sieve.value)
         for batch in (part for whole in batches for part in _blocks(whole)):
-            grams, lens = _trigrams(batch.column("lang").to_numpy(), batch.column("ids").to_pylist())
-            order, cuts = shards.cut(grams)
-            grams, row = grams[order], np.repeat(np.arange(len(lens), dtype="u4"), lens)[order]
-            head = cuts[(task + number) % len(cuts)][0] if cuts else (task + number) % shards.number
-            rows = [(i, _squeeze(np.diff(grams[a:b], prepend=0), row[a:b])) for i, a, b in cuts] or [(head, None)]
-            yield _dealt(DOCUMENTS, task << 32 | number, rows, head, (*(batch.column(x).to_pylist() for x in ("doc_id", "mark", "lang")), lens.tolist()))
+            flat, lens = _words(batch.column("lang").to_numpy(), batch.column("ids").to_pylist())
+            at, head = task << 32 | number, None
+            about = (*(batch.column(x).to_pylist() for x in ("doc_id", "mark", "lang")), lens.tolist())
+            for keys, grams, row in _trigrams(flat, lens, known):
+                order, cuts = shards.cut(keys, grams)
+                asked = np.flatnonzero((keys & MASK >= RARE)[grams & LOCAL_MASK])
+                words, own = keys[grams[asked] & LOCAL_MASK], row[asked]
+                if head is None:
+                    head = cuts[(task + number) % len(cuts)][0]
+                    yield _dealt(DOCUMENTS, at, [(head, None)], head, about)
+                grams, row = grams[order], row[order]
+                yield _dealt(DOCUMENTS, at, [(i, _part(keys, grams[a:b], row[a:b])) for i, a, b in cuts])
+                order = np.argsort(words, kind="stable")
+                words, own = words[order], own[order]
+                order, cuts = _cut(shards.first(words), shards.number)
+                words, own = words[order], own[order]
+                yield _dealt(ASKED, at, [(i, _squeeze(np.diff(words[a:b], prepend=0), own[a:b])) for i, a, b in cuts])
+            if head is None:
+                head = (task + number) % shards.number
+                yield _dealt(DOCUMENTS, at, [(head, None)], head, about)
             number += 1
 
     return run
 
 
-def _join(held):
+def _join(held, shards: Shards):
     """Shard by shard the model's parts, then every block's: each document's summed -ln of probabilities."""
 
-    def part(packed: bytes | None, upper: Upper) -> bytes | None:
+    def part(kind: int, packed: bytes | None, upper: Upper) -> bytes | None:
         if packed is None:
             return None
-        steps, row = _expand(packed, "i8", "u4")
-        new = steps != 0
-        new[0] = True
-        loss = -np.log(np.maximum(upper.probabilities(np.cumsum(steps)[new]), 1e-12))
+        if kind == ASKED:
+            steps, row = _expand(packed, "i8", "u4")
+            new = steps != 0
+            new[0] = True
+            loss = upper.rare_losses(steps.cumsum()[new])
+        else:
+            keys, v, u, w, row = _grams_expanded(packed, "u4")
+            new = (np.diff(v, prepend=-1) != 0) | (np.diff(u, prepend=-1) != 0) | (np.diff(w, prepend=-1) != 0)
+            loss = upper.losses(keys, v[new], u[new], w[new])
         sums = np.bincount(row, loss[np.cumsum(new) - 1])
         rows = np.flatnonzero(np.bincount(row))
         return _squeeze(np.diff(rows, prepend=0).astype("u4"), sums[rows].astype("f4"))
@@ -454,17 +622,17 @@ def _join(held):
         now, parts, upper = -1, {}, None
         for batch in batches:
             shard, kind = (batch.column(x).to_numpy() for x in ("shard", "kind"))
-            first = np.flatnonzero(np.diff(shard.astype("i8") * 8 + kind, prepend=-1)).tolist()
+            first = np.flatnonzero(np.diff(shard.astype("i8") * 16 + kind, prepend=-1)).tolist()
             for a, b in zip(first, [*first[1:], len(shard)], strict=True):
                 if shard[a] != now:
                     now, parts, upper = shard[a], {}, None
                 rows = batch.slice(a, b - a)
-                if kind[a] != DOCUMENTS:
-                    parts.setdefault(int(kind[a]), []).extend(x.as_py() for x in rows.column("part"))
+                if kind[a] not in (DOCUMENTS, ASKED):
+                    parts.setdefault(int(kind[a]), []).extend(zip(rows.column("at").to_pylist(), rows.column("part").to_pylist(), strict=True))
                     continue
                 if upper is None:
-                    upper, parts = Upper(lower, parts), {}
-                sums = pa.array([part(x.as_py(), upper) for x in rows.column("part")], pa.binary())
+                    upper, parts = Upper(lower, shards, parts), {}
+                sums = pa.array([part(int(kind[a]), x.as_py(), upper) for x in rows.column("part")], pa.binary())
                 yield pa.RecordBatch.from_arrays([rows.column("shard"), rows.column("at"), sums, *(rows.column(x) for x in ABOUT)], ["shard", "at", "part", *ABOUT])
 
     return run
@@ -474,8 +642,8 @@ def _sum(group: pa.Table) -> pa.Table:
     """A block's documents with the sums of all shards."""
     docs, marks, langs, lens = (group.column(x).combine_chunks().drop_null().flatten() for x in ABOUT)
     loss = np.zeros(len(docs))
-    for packed in group.sort_by("shard").column("part").drop_null():
-        rows, sums = _expand(packed.as_py(), "u4", "f4")
+    for _, packed in sorted(x for x in zip(group.column("shard").to_pylist(), group.column("part").to_pylist(), strict=True) if x[1] is not None):
+        rows, sums = _expand(packed, "u4", "f4")
         loss[np.cumsum(rows)] += sums
     return pa.table({"doc_id": docs, "mark": marks, "lang": langs, "n": lens, "loss": pa.array(loss)})
 
@@ -485,23 +653,26 @@ def _then(reader: Reader | None, f: Reader) -> Reader:
     return lean(f if reader is None else lambda batches: f(reader(batches)))
 
 
-def score(tokens: DataFrame, train: DataFrame, shards: Shards, languages: int, size: int, readers: tuple[Reader | None, Reader | None] = (None, None)) -> DataFrame:
+def score(tokens: DataFrame, train: DataFrame, shards: Shards, languages: int, size: int | None = None, readers: tuple[Reader | None, Reader | None] = (None, None)) -> DataFrame:
     """(doc_id, mark, lang, n, loss) for every row of tokens: -ln of its words' probabilities, summed, by a model of train.
 
-    Both are TOKENS, or what their readers make TOKENS of; size is how many different words there may be. Blocks of documents are named by task and place, so tokens
+    Both are TOKENS, or what their readers make TOKENS of; size is how many different words there may be, None being one more than a language has. Blocks of documents are named by task and place, so tokens
     must come the same when a task is run again, as rows of stored tables do.
     """
     spark = tokens.sparkSession
     counted = train.mapInArrow(_then(readers[1], _counted(shards)), "shard int, part binary").repartition(shards.number, "shard").sortWithinPartitions("shard")
     model = written(counted.mapInArrow(lean(_built(shards)), MODEL), "model")
     added = lambda *kinds: model.filter(F.col("kind").isin(*kinds)).groupBy("kind", "key").applyInArrow(_added, "kind int, key long, part binary")
-    sums = added(CONTEXT_WORDS, WORDS, TALLIES).select("kind", "part")
+    lots = written(model.filter(F.col("kind") == WORDS).groupBy("key").applyInArrow(_lots(shards), MODEL), "lots")
+    sums = added(CONTEXT_WORDS, TALLIES).select("kind", "part").unionByName(lots.filter(F.col("kind").isin(FREQUENT, TALLIES)).select("kind", "part"))
     held = spark.sparkContext.broadcast(pickle.dumps(Lower(sums.toArrow(), languages, size)))
+    sieve = {r["shard"]: bytes(r["part"]) for r in lots.filter(F.col("kind") == SIEVED).select("shard", "part").toLocalIterator()}
+    sieve = spark.sparkContext.broadcast(pickle.dumps(Sieve(shards, sieve)))
     none = [F.lit(None).cast("array<int>" if x == "langs" else "array<long>").alias(x) for x in ABOUT]
-    own = model.filter(F.col("kind").isin(TRIGRAMS, CONTEXTS, BIGRAMS)).select("shard", "kind", F.lit(0).cast("long").alias("at"), "part", *none)
+    own = model.unionByName(lots).filter(F.col("kind").isin(TRIGRAMS, TOTALS, UNIGRAMS)).select("shard", "kind", F.lit(0).cast("long").alias("at"), "part", *none)
     shared = added(SHARED).mapInArrow(lean(_deal_shared(shards)), DEALT)
-    met = own.unionByName(shared).unionByName(tokens.mapInArrow(_then(readers[0], _deal(shards)), DEALT)).repartition(shards.number, "shard").sortWithinPartitions("shard", "kind", "at")
-    return met.mapInArrow(lean(_join(held)), SUMS).groupBy("at").applyInArrow(_sum, "doc_id long, mark long, lang int, n long, loss double")
+    met = own.unionByName(shared).unionByName(tokens.mapInArrow(_then(readers[0], _deal(shards, sieve)), DEALT)).repartition(shards.number, "shard").sortWithinPartitions("shard", "kind", "at")
+    return met.mapInArrow(lean(_join(held, shards)), SUMS).groupBy("at").applyInArrow(_sum, "doc_id long, mark long, lang int, n long, loss double")
 
 
 def _models(counts: list[tuple[str, int, int]]) -> tuple[list[str | None], dict[str, int]]:
@@ -551,7 +722,7 @@ def _judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ranked = words.withColumn("rank", F.row_number().over(Window.partitionBy("model").orderBy(F.desc("c"), "word"))).filter(F.col("rank") <= most)
     vocabularies: list[dict[str, int]] = [{} for _ in names]
     for r in ranked.toLocalIterator():
-        vocabularies[r["model"]][r["word"]] = FIRST_WORD + r["rank"] - 1
+        vocabularies[r["model"]][r["word"]] = START + r["rank"]
     held = spark.sparkContext.broadcast(pickle.dumps((number, vocabularies)))
 
     reader = _tokens(held)
@@ -567,7 +738,7 @@ def _judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     else:
         read = None
         train = tokens(rows).join(ids.join(models, "lang").select("doc_id", F.col("model").alias("lang")), ["doc_id", "lang"], "left_semi").select("doc_id", "mark", "lang", "ids")
-    scored = written(score(rows, train, shards, len(names), FIRST_WORD + most, (reader, read)), "scores")
+    scored = written(score(rows, train, shards, len(names), readers=(reader, read)), "scores")
 
     check = scored.filter("lang >= 0").join(spoken.filter("fold = 0").select("doc_id").distinct(), "doc_id", "left_semi")
     means = check.groupBy("lang").agg((F.sum("loss") / F.greatest(F.sum("n"), F.lit(1))).alias("mean"), F.count("*").alias("held"))
@@ -585,17 +756,17 @@ def _judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _frequent(tokens: DataFrame, shards: int) -> dict[int, float]:
-    """(language, word) keys with over a share of 1 / (2 shards) of the words of a sample; START counts for every text."""
+    """Keys of frequent words with over a share of 1 / (2 shards) of the words of a sample; START counts for every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams, _ = _trigrams(batch.column("lang").to_numpy(), batch.column("ids").to_pylist())
-            keys, c = np.unique(_middle(grams), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.astype("i8")), pa.array(c.astype("i8"))], ["key", "c"])
+            for words, grams, _ in _trigrams(*_words(batch.column("lang").to_numpy(), batch.column("ids").to_pylist())):
+                found, c = np.unique(grams >> 2 * LOCAL, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(words[found]), pa.array(c.astype("i8"))], ["key", "c"])
 
     counted = written(tokens.mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c")), "frequent")
     total = counted.agg(F.sum("c")).first()[0] or 1
-    return {r["key"]: r["c"] / total for r in counted.filter(F.col("c") * (2 * shards) >= total).collect()}
+    return {r["key"]: r["c"] / total for r in counted.filter(F.col("c") * (2 * shards) >= total).collect() if r["key"] & MASK < RARE}
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
