@@ -32,7 +32,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near-dedup on 5-word shingles at Jaccard 0.8, in operator 7's place: one document of each group stays, that of the smallest doc_id.
+    """Operator 7 on 5-word shingles: one document of each group stays, that of the smallest doc_id. Texts whose SimHash fingerprints are near each other,
+    found by multi-index hashing, link if their Jaccard similarity is 0.8 or more, and so do texts of that similarity whose fingerprints are not.
     Rows with a null doc_id stay; of rows that share a doc_id one stays, chosen by a hash; texts without words are one group."""
     return simhash.keep_one(docs, simhash.similar)
 

@@ -177,3 +177,21 @@ def test_quality_trigrams_of_long_texts_come_in_pieces(monkeypatch):
             assert sorted(zip(*(part[0][x].tolist() for x in part[1:]), strict=True)) == sorted(zip(*(keys[grams >> quality.LOCAL * i & quality.LOCAL_MASK].tolist() for i in (2, 1, 0)), strict=True))
             got += zip(row.tolist(), *(keys[grams >> quality.LOCAL * i & quality.LOCAL_MASK].tolist() for i in (2, 1, 0)), strict=True)
         assert got == want
+
+
+def test_pipeline_near_dedup_links_by_simhash(spark):
+    """The SimHash fingerprints alone bring together what is near; only what is similar links."""
+    words = [f"word{i}" for i in range(5000)]
+    texts = {1: words, 2: [*words[:-1], "last"], 3: ["first", *words[1:]], 4: words[::-1], 5: ["one", "two", "three"], 6: ["one", "two", "other"]}
+    docs = spark.createDataFrame([(d, " ".join(t), "en", "a", 1) for d, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    prints = {d: simhash._wide_fingerprint(simhash._set(" ".join(t).encode())[1]) for d, t in texts.items()}
+    near = [(a, b) for a in texts for b in texts if a < b and ((prints[a] ^ prints[b]) & (1 << 64) - 1).bit_count() <= simhash.WIDE_DISTANCE]
+    assert near == [(1, 2), (1, 3), (2, 3)] and len({prints[d] for d in texts}) > 4
+    marks = [(d, simhash._set(" ".join(t).encode())[0], prints[d]) for d, t in texts.items()]
+    keys = simhash._simhash_keys(common.written(spark.createDataFrame([x[1:] for x in marks], "mark long, print long"), "p")).collect()
+    met = defaultdict(set)
+    for r in keys:
+        met[r["key"]].add(next(d for d, m, _ in marks if m == r["mark"]))
+    assert {(a, b) for x in met.values() for a in x for b in x if a < b} == set(near)
+    kept = {r["doc_id"] for r in corpus_pipeline.simhash_near_dedup(spark, docs, "").collect()}
+    assert kept == {1, 4, 5, 6}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,12 +15,14 @@ from .common import components, documents, lean, skew_lookup, written
 SEED = 42
 SHINGLE = 3
 DISTANCE = 2
-#: With two segments and at most two differing bits, one segment differs in at most one bit.
+#: With two segments and at most two differing bits, one segment differs in at most one bit; with three, too.
 SEGMENT_BITS = 32
 BLOCK = 1 << 15
 
 #: similar(): words of a shingle, and the Jaccard similarity from which texts are one, as a fraction.
 WIDE_SHINGLE, SIMILAR = 5, (4, 5)
+#: Bits in which fingerprints of wide shingles may differ for their sets to be compared: as many as two segments with balls of one bit find.
+WIDE_DISTANCE = 3
 #: Texts of similarity 0.8 agree in no band of so many minima in (1 - 0.8 ** 4) ** 28 = 4e-7 of cases.
 BANDS, BAND_ROWS = 28, 4
 #: A bucket of more sets is compared in pairs of parts of so many.
@@ -44,8 +46,13 @@ def _hashes(text: bytes, size: int) -> Iterator[np.ndarray]:
 
 def fingerprint(text: bytes) -> int:
     """The 64-bit SimHash of a text, signed: a bit is set if over half of the shingles' hashes set it."""
+    return _majority(_hashes(text, SHINGLE))
+
+
+def _majority(blocks: Iterable[np.ndarray]) -> int:
+    """The bits set in over half of the hashes, signed."""
     bits, n = np.zeros(64, "i8"), 0
-    for hashes in _hashes(text, SHINGLE):
+    for hashes in blocks:
         bits += np.unpackbits(hashes.astype(">u8").view("u1").reshape(-1, 8), axis=1).sum(axis=0, dtype="i8")
         n += len(hashes)
     return int(np.packbits(2 * bits > n).view(">i8")[0])
@@ -57,8 +64,8 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(marks, pa.int64())], ["doc_id", "mark"])
 
 
-def links(marks: DataFrame) -> DataFrame:
-    """(a, b): the representatives of any two different fingerprints (mark, rep) that differ in at most DISTANCE bits.
+def links(marks: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """(a, b): the representatives of any two different fingerprints (mark, rep) that differ in at most distance bits, 3 at most.
 
     Each 32-bit segment is a table of its own. A fingerprint is found under its segments; it looks up, in each
     table, its segment and every value one set bit away, and the whole fingerprints of what it meets are
@@ -77,7 +84,7 @@ def links(marks: DataFrame) -> DataFrame:
     at = lambda s: lambda key: F.struct(F.lit(s).alias("s"), key.alias("key"))
     looks = [F.transform(ball(segment(s)), at(s)) for s in (0, 1)]
     probes = marks.select("mark", "rep", F.explode(F.concat(*looks)).alias("at")).select("at.s", "at.key", F.col("mark").alias("mark2"), F.col("rep").alias("rep2"))
-    near = F.bit_count(F.col("mark").bitwiseXOR(F.col("mark2"))) <= DISTANCE
+    near = F.bit_count(F.col("mark").bitwiseXOR(F.col("mark2"))) <= distance
     met = probes.join(table, (probes["s"] == table["s"]) & (probes["key"] == table["key"]) & (F.col("mark") != F.col("mark2")) & near)
     return met.select(F.greatest("rep", "rep2").alias("a"), F.least("rep", "rep2").alias("b")).distinct()
 
@@ -117,6 +124,11 @@ def _set(text: bytes) -> tuple[int, np.ndarray]:
     return mark - (mark >> 63 << 64), grams
 
 
+def _wide_fingerprint(grams: np.ndarray) -> int:
+    """The SimHash of a set."""
+    return _majority(grams[at : at + BLOCK] for at in range(0, len(grams), BLOCK))
+
+
 def _bands(grams: np.ndarray) -> list[int]:
     """A key for each band of the set's minima under BANDS * BAND_ROWS multiplications; none for no set."""
     if not len(grams):
@@ -132,7 +144,8 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [_set(x.as_py() or b"") for x in batch.column("text")]
         bands = pa.array([_bands(grams) for _, grams in sets], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([m for m, _ in sets], pa.int64()), bands], ["doc_id", "mark", "bands"])
+        prints = pa.array([_wide_fingerprint(grams) for _, grams in sets], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([m for m, _ in sets], pa.int64()), prints, bands], ["doc_id", "mark", "print", "bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,17 +180,27 @@ def _verify(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in edges], pa.int64()), "b": pa.array([b for _, b in edges], pa.int64())})
 
 
+def _simhash_keys(prints: DataFrame) -> DataFrame:
+    """(mark, key) of sets (mark, print) that share a fingerprint or have one of two that differ in at most WIDE_DISTANCE bits."""
+    found = links(prints.select(F.col("print").alias("mark"), F.col("print").alias("rep")).distinct(), WIDE_DISTANCE)
+    pairs = found.select(F.xxhash64(F.lit("pair"), "a", "b").alias("key"), F.explode(F.array("a", "b")).alias("print"))
+    return prints.select("mark", F.xxhash64(F.lit("print"), "print").alias("key")).unionByName(pairs.join(prints, "print").select("mark", "key"))
+
+
 def similar(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, component_id) as near_duplicates() has them, where texts link whose sets of 5-word shingles have a Jaccard
     similarity of 0.8 or more.
 
-    Equal sets are taken together first. Of the others, those that share a band of minima are compared in full.
+    Equal sets are taken together first. Of the others, those whose SimHash fingerprints differ in at most WIDE_DISTANCE bits, found by
+    links(), are compared in full; so are those further apart that share a band of minima, as sets of similarity 0.8 differ in
+    about ten of 64 bits, beyond what segments and balls find.
     """
     rows = _binary(docs)
-    sketches = written(rows.mapInArrow(lean(_sketches), "doc_id long, mark long, bands array<long>"), "sketches")
+    sketches = written(rows.mapInArrow(lean(_sketches), "doc_id long, mark long, print long, bands array<long>"), "sketches")
 
     def near(marks: DataFrame) -> DataFrame:
-        keys = sketches.filter("doc_id is not null").dropDuplicates(["mark"]).select("mark", F.explode("bands").alias("key"))
+        own = sketches.filter("doc_id is not null").dropDuplicates(["mark"])
+        keys = own.select("mark", F.explode("bands").alias("key")).unionByName(_simhash_keys(written(own.select("mark", "print"), "prints")))
         met = keys.groupBy("key").agg(F.sort_array(F.collect_set("mark")).alias("met")).filter(F.size("met") > 1)
         buckets = written(met.select("met").distinct(), "buckets")
         parts = F.ceil(F.size("met") / PART_SETS).cast("int")
