@@ -1,5 +1,6 @@
 """Cases in which an operator once did less than the whole job."""
 
+import json
 import math
 import random
 from collections import Counter, defaultdict
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 from test_operators import brute_model, lower
 
-from tileframe.llm import common, quality, simhash, topk
+from tileframe.llm import bpe, common, quality, simhash, topk
 
 
 def shingle_set(text):
@@ -195,3 +196,16 @@ def test_pipeline_near_dedup_links_by_simhash(spark):
     assert {(a, b) for x in met.values() for a in x for b in x if a < b} == set(near)
     kept = {r["doc_id"] for r in corpus_pipeline.simhash_near_dedup(spark, docs, "").collect()}
     assert kept == {1, 4, 5, 6}
+
+
+def test_bpe_looks_up_only_pairs_that_a_merge_changed(monkeypatch):
+    with open(bpe.word_bpe()) as f:
+        own = bpe.Bpe(json.load(f))
+    rng = random.Random(5)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 30))).encode() for _ in range(300)] + [b"aaaaaaa", b"abababab", b"a"]
+    asked, rank = [], own._rank
+    monkeypatch.setattr(own, "_rank", lambda left, right: asked.append(len(left)) or rank(left, right))
+    ids, ends = own.merge(words)
+    pairs, merges = sum(len(w) - 1 for w in words), sum(map(len, words)) - len(ids)
+    assert merges > 100 and sum(asked) <= pairs + 2 * merges and ends[-1] == len(ids)
+    assert [own.merge([w])[0].tolist() for w in words] == [x.tolist() for x in np.split(ids, ends[:-1])]

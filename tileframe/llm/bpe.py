@@ -103,27 +103,32 @@ class Bpe:
         symbol[ends - 1] = self.final[flat[ends - 1]]
         owner = np.repeat(np.arange(len(words)), lens)
         done_symbols, done_owners = [], []
+        rank = np.full(len(symbol), NEVER)  # of each symbol and the next one of its word
+        changed = np.flatnonzero(owner[:-1] == owner[1:])
         while len(symbol):
-            rank = np.full(len(symbol), NEVER)
-            inside = owner[:-1] == owner[1:]
-            rank[:-1][inside] = self._rank(symbol[:-1][inside], symbol[1:][inside])
+            rank[changed] = self._rank(symbol[changed], symbol[changed + 1])
             starts = np.flatnonzero(np.diff(owner, prepend=-1))
             best = np.minimum.reduceat(rank, starts)
-            sizes = np.diff(starts, append=len(symbol))
-            open_ = np.repeat(best < NEVER, sizes)
+            best = np.repeat(best, np.diff(starts, append=len(symbol)))
+            open_ = best < NEVER
             done_symbols.append(symbol[~open_])
             done_owners.append(owner[~open_])
-            symbol, owner, rank, best = symbol[open_], owner[open_], rank[open_], np.repeat(best, sizes)[open_]
-            hit = np.flatnonzero(rank == best) if len(symbol) else np.zeros(0, "i8")
+            symbol, owner, rank, best = symbol[open_], owner[open_], rank[open_], best[open_]
+            hit = np.flatnonzero(rank == best)
             if not len(hit):
-                continue
+                break
             # of neighbouring hits, which overlap, every other one from the left
             runs = np.flatnonzero(np.diff(hit, prepend=-2) != 1)
             hit = hit[(np.arange(len(hit)) - np.repeat(runs, np.diff(runs, append=len(hit)))) % 2 == 0]
             symbol[hit] = self.merged[rank[hit]]
             keep = np.ones(len(symbol), bool)
             keep[hit + 1] = False
-            symbol, owner = symbol[keep], owner[keep]
+            rank[hit] = NEVER
+            symbol, owner, rank = symbol[keep], owner[keep], rank[keep]
+            # only pairs with a merged symbol have other ranks now
+            hit -= np.arange(len(hit))
+            changed = np.concatenate([hit[hit > 0] - 1, hit[hit < len(symbol) - 1]])
+            changed = changed[owner[changed] == owner[changed + 1]]
         symbols, owners = np.concatenate(done_symbols), np.concatenate(done_owners)
         order = np.argsort(owners, kind="stable")
         return symbols[order], np.cumsum(np.bincount(owners, minlength=len(words)))
@@ -131,6 +136,8 @@ class Bpe:
     def _pieces(self, chunk: str) -> list[str]:
         if chunk.isascii() and chunk.isalpha():
             return [chunk.lower()]
+        if chunk.isascii() and chunk[:-1].isalpha() and not chunk[-1].isalnum():
+            return [chunk[:-1].lower(), chunk[-1]]
         out = []
         for part in self.marks.split(chunk) if self.marks and "<" in chunk else (chunk,):
             if part in self.special:
