@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import ctypes
 import functools
 import operator
@@ -69,6 +70,19 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, **values: object) -> Iterator[None]:
+    """The session's settings of these names (dots as double underscores) for a while."""
+    old = {k.replace("__", "."): spark.conf.get(k.replace("__", "."), None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k.replace("__", "."), str(v))
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """df as a Parquet table in the shared folder: lineage ends here, and a lost executor loses nothing."""
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
@@ -77,6 +91,14 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lean_disk(spark: SparkSession):
+    """While it holds, what a written() table shuffled is deleted as soon as the table is complete, not when the JVM next collects garbage.
+
+    Not for tables that are read with toLocalIterator(), which still needs shuffles when its execution has ended.
+    """
+    return settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true")
+
+
 def made() -> int:
     """How many scratch tables there are, for drop_scratch()."""
     return len(_made)

@@ -9,7 +9,6 @@ batches has binary digits. A line stays if its document is the holder in its bat
 
 from __future__ import annotations
 
-import contextlib
 import functools
 import uuid
 from collections.abc import Iterator
@@ -20,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, lean, scratch, written
+from .common import documents, lean, scratch, settings, written
 
 #: Documents of a batch; over one table there are at most MOST_BATCHES, larger ones, as each waits for the one before.
 BATCH_ROWS, MOST_BATCHES = 50_000, 12
@@ -80,19 +79,6 @@ RUN = "hi long, lo long, holder long"
 STATE = "version long, level int, run string, buckets int"
 
 
-@contextlib.contextmanager
-def _settings(spark: SparkSession, **values: object) -> Iterator[None]:
-    """The session's settings of these names (dots as double underscores) for a while."""
-    old = {k.replace("__", "."): spark.conf.get(k.replace("__", "."), None) for k in values}
-    try:
-        for k, v in values.items():
-            spark.conf.set(k.replace("__", "."), str(v))
-        yield
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 class LineRuns:
     """Levelled sorted runs of line keys below a path, a new one in the shared folder if none is given.
 
@@ -160,7 +146,7 @@ class LineRuns:
 
     def _layout(self):
         """Shuffles match the buckets, and the order of the one file that a bucket has is relied on."""
-        return _settings(self.spark, spark__sql__shuffle__partitions=self.buckets, spark__sql__legacy__bucketedTableScan__outputOrdering="true")
+        return settings(self.spark, spark__sql__shuffle__partitions=self.buckets, spark__sql__legacy__bucketedTableScan__outputOrdering="true")
 
     def merged(self, a: str, b: str) -> DataFrame:
         """Two runs as one; they have no key in common, so a full outer merge join is their union in order."""

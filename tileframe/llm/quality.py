@@ -10,6 +10,7 @@ broadcast. A document is rejected above a perplexity quantile of its own languag
 
 from __future__ import annotations
 
+import functools
 import pickle
 import struct
 from collections import Counter
@@ -23,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, lean, written
+from .common import documents, lean, lean_disk, written
 
 #: Trusted documents that tell a language's frequent words, and how many words have short codes, by language and of all together (but LEAST_DOCS
 #: and LEAST_WORDS of each). Results do not depend on these.
@@ -43,6 +44,8 @@ CACHE = 25_000
 BLOCK_WORDS = 1 << 19
 #: A shard has about so many of the documents' words or fewer; a sample of so many documents tells which words are frequent.
 SHARD_WORDS, BALANCE_DOCS = 1 << 26, 5_000
+#: Documents are scored in rounds, by a hash, of about so many bytes of text and at most so many rounds, so that not all of their trigrams lie on disk at once.
+ROUND_BYTES, MOST_ROUNDS = 1 << 24, 4
 #: Trusted ids are broadcast up to so many (8 bytes each), and joined by a shuffle beyond.
 BROADCAST_IDS = 1 << 18
 #: A word's key is its language and, in BITS, its code: START, a frequent word's rank, or, from RARE on, a hash.
@@ -653,26 +656,37 @@ def _then(reader: Reader | None, f: Reader) -> Reader:
     return lean(f if reader is None else lambda batches: f(reader(batches)))
 
 
-def score(tokens: DataFrame, train: DataFrame, shards: Shards, languages: int, size: int | None = None, readers: tuple[Reader | None, Reader | None] = (None, None)) -> DataFrame:
+def score(
+    tokens: DataFrame, train: DataFrame, shards: Shards, languages: int, size: int | None = None, readers: tuple[Reader | None, Reader | None] = (None, None), rounds: int = 1
+) -> DataFrame:
     """(doc_id, mark, lang, n, loss) for every row of tokens: -ln of its words' probabilities, summed, by a model of train.
 
     Both are TOKENS, or what their readers make TOKENS of; size is how many different words there may be, None being one more than a language has. Blocks of documents are named by task and place, so tokens
-    must come the same when a task is run again, as rows of stored tables do.
+    must come the same when a task is run again, as rows of stored tables do. All of train makes the model, and each of rounds parts of tokens is joined with all of it;
+    a round's shuffle is deleted before the next one's.
     """
     spark = tokens.sparkSession
     counted = train.mapInArrow(_then(readers[1], _counted(shards)), "shard int, part binary").repartition(shards.number, "shard").sortWithinPartitions("shard")
-    model = written(counted.mapInArrow(lean(_built(shards)), MODEL), "model")
-    added = lambda *kinds: model.filter(F.col("kind").isin(*kinds)).groupBy("kind", "key").applyInArrow(_added, "kind int, key long, part binary")
-    lots = written(model.filter(F.col("kind") == WORDS).groupBy("key").applyInArrow(_lots(shards), MODEL), "lots")
+    with lean_disk(spark):
+        model = written(counted.mapInArrow(lean(_built(shards)), MODEL), "model")
+        added = lambda *kinds: model.filter(F.col("kind").isin(*kinds)).groupBy("kind", "key").applyInArrow(_added, "kind int, key long, part binary")
+        lots = written(model.filter(F.col("kind") == WORDS).groupBy("key").applyInArrow(_lots(shards), MODEL), "lots")
+        shared = written(added(SHARED), "shared")
     sums = added(CONTEXT_WORDS, TALLIES).select("kind", "part").unionByName(lots.filter(F.col("kind").isin(FREQUENT, TALLIES)).select("kind", "part"))
     held = spark.sparkContext.broadcast(pickle.dumps(Lower(sums.toArrow(), languages, size)))
     sieve = {r["shard"]: bytes(r["part"]) for r in lots.filter(F.col("kind") == SIEVED).select("shard", "part").toLocalIterator()}
     sieve = spark.sparkContext.broadcast(pickle.dumps(Sieve(shards, sieve)))
     none = [F.lit(None).cast("array<int>" if x == "langs" else "array<long>").alias(x) for x in ABOUT]
     own = model.unionByName(lots).filter(F.col("kind").isin(TRIGRAMS, TOTALS, UNIGRAMS)).select("shard", "kind", F.lit(0).cast("long").alias("at"), "part", *none)
-    shared = added(SHARED).mapInArrow(lean(_deal_shared(shards)), DEALT)
-    met = own.unionByName(shared).unionByName(tokens.mapInArrow(_then(readers[0], _deal(shards, sieve)), DEALT)).repartition(shards.number, "shard").sortWithinPartitions("shard", "kind", "at")
-    return met.mapInArrow(lean(_join(held, shards)), SUMS).groupBy("at").applyInArrow(_sum, "doc_id long, mark long, lang int, n long, loss double")
+    own = own.unionByName(shared.mapInArrow(lean(_deal_shared(shards)), DEALT))
+    scores = []
+    for i in range(rounds):
+        some = tokens.filter(F.pmod(F.xxhash64(F.lit("round"), "doc_id", "mark"), F.lit(rounds)) == i)
+        met = own.unionByName(some.mapInArrow(_then(readers[0], _deal(shards, sieve)), DEALT)).repartition(shards.number, "shard").sortWithinPartitions("shard", "kind", "at")
+        scored = met.mapInArrow(lean(_join(held, shards)), SUMS).groupBy("at").applyInArrow(_sum, "doc_id long, mark long, lang int, n long, loss double")
+        with lean_disk(spark):
+            scores.append(written(scored, "scores"))
+    return functools.reduce(DataFrame.unionByName, scores)
 
 
 def _models(counts: list[tuple[str, int, int]]) -> tuple[list[str | None], dict[str, int]]:
@@ -738,7 +752,8 @@ def _judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     else:
         read = None
         train = tokens(rows).join(ids.join(models, "lang").select("doc_id", F.col("model").alias("lang")), ["doc_id", "lang"], "left_semi").select("doc_id", "mark", "lang", "ids")
-    scored = written(score(rows, train, shards, len(names), readers=(reader, read)), "scores")
+    rounds = max(1, min(MOST_ROUNDS, (length or 0) // ROUND_BYTES))
+    scored = score(rows, train, shards, len(names), readers=(reader, read), rounds=rounds)
 
     check = scored.filter("lang >= 0").join(spoken.filter("fold = 0").select("doc_id").distinct(), "doc_id", "left_semi")
     means = check.groupBy("lang").agg((F.sum("loss") / F.greatest(F.sum("n"), F.lit(1))).alias("mean"), F.count("*").alias("held"))
